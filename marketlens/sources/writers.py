@@ -33,7 +33,9 @@ def save_catalog_table(
 
 
 def save_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header line. Blanks around a value are part of it and stay."""
+    writer = df.write.mode("overwrite").option("header", True)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def save_json(df: DataFrame, path: str) -> None:
