@@ -67,18 +67,28 @@ def store_silver(raw: dict[str, DataFrame], store: str, **order_options) -> None
     save_stored(dims.dim_calendar(read_stored(spark, store, "fact_orders")), store, "dim_calendar")
 
 
+def rejected_summary(raw_orders: DataFrame, customers: DataFrame, stored: DataFrame) -> DataFrame:
+    """The reject report after a run. The count is keys read minus rows stored, which shuffles the
+    order ids only; the rejected rows are looked up just when few enough to list examples."""
+    n = raw_orders.select("order_id").distinct().count() - stored.count()
+    if 0 < n <= clean.SHOW_REJECTED_UP_TO:
+        return clean.rejected_report(clean.rejected_orders(raw_orders, customers))
+    schema = "rejected_orders bigint, example_customer_ids string"
+    return raw_orders.sparkSession.createDataFrame([(n, None)], schema)
+
+
 def run_etl(spark: SparkSession, raw_folder: str, store: str, reports: str | None = None) -> None:
     raw = read_raw(spark, raw_folder)
     store_silver(raw, store)
-    if reports is not None:
-        customers = read_stored(spark, store, "dim_customers")
-        save_report(clean.dedup_report(raw["customers"]), f"{reports}/deduplication_report")
-        rejected = clean.rejected_orders(raw["orders"], customers)
-        save_csv(clean.rejected_report(rejected), f"{reports}/rejected_orders")
-        save_csv(clean.bad_dates(raw["orders"]), f"{reports}/bad_dates")
-        save_csv(clean.item_rule_counts(raw["order_items"]), f"{reports}/item_rules")
-        stored = {name: read_stored(spark, store, name) for name in SILVER}
-        save_csv(clean.shape_audit({"raw": raw, "stored": stored}), f"{reports}/audit")
+    if reports is None:
+        return
+    stored = {name: read_stored(spark, store, name) for name in SILVER}
+    rejected = rejected_summary(raw["orders"], stored["dim_customers"], stored["fact_orders"])
+    save_csv(rejected, f"{reports}/rejected_orders")
+    save_report(clean.dedup_report(raw["customers"]), f"{reports}/deduplication_report")
+    save_csv(clean.bad_dates(raw["orders"]), f"{reports}/bad_dates")
+    save_csv(clean.item_rule_counts(raw["order_items"]), f"{reports}/item_rules")
+    save_csv(clean.shape_audit({"raw": raw, "stored": stored}), f"{reports}/audit")
 
 
 def _silver(spark: SparkSession, store: str) -> dict[str, DataFrame]:
@@ -183,13 +193,20 @@ def run_rfm(spark: SparkSession, store: str, reports: str, snapshot: str = rfm.S
 
 
 def publish_sla(city: DataFrame, category: DataFrame, path: str) -> bool:
-    """Write city and category rows as one CSV, unless one of the two is empty."""
-    if city.isEmpty() or category.isEmpty():
-        return False
-    combined = sla.sla_combined(city, category)
-    order = [F.col("level").desc(), F.col("total_orders").desc(), "customer_city", "product_category_name"]
-    save_csv(combined.orderBy(*order), path)
-    return True
+    """Write city and category rows as one CSV, unless one of the two is empty.
+
+    They hold one row per city or category; persisting them spares the emptiness check a second run.
+    """
+    frames = [df.persist() for df in (city, category)]
+    try:
+        if any(df.isEmpty() for df in frames):
+            return False
+        order = [F.col("level").desc(), F.col("total_orders").desc(), "customer_city", "product_category_name"]
+        save_csv(sla.sla_combined(*frames).orderBy(*order), path)
+        return True
+    finally:
+        for df in frames:
+            df.unpersist()
 
 
 def run_sla(spark: SparkSession, store: str, reports: str) -> None:

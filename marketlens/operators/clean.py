@@ -4,9 +4,10 @@ How these keep to one pass of bounded work per task when one key holds a large s
 
 * "keep first" is ``row_number() = 1``; Spark limits every group to one row before the shuffle
   (WindowGroupLimit), so a hot key sends one row per map task.
-* "all members of repeated groups" counts the groups with map-side combine and semi-joins the rows to
-  the repeated keys. A window count would bring a whole group into one task; the join side of a hot
-  key is split at run time (AQE skew join).
+* "all members of repeated groups" treats hot keys apart, see ``skew``.
+* Looking orders up among the customers is a shuffle join of two plain shuffles, the shape in which Spark
+  splits a hot key at run time (AQE skew join), or a broadcast while the customers are below Spark's
+  size threshold.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from marketlens.functions.dates import floor_days, parse_timestamp
 from marketlens.functions.money import nan_to_null
 from marketlens.functions.text import strip_lower
+from marketlens.operators.skew import members_of_repeated_groups
 from marketlens.sources.readers import FILE_ORDER, has_columns
 
 # Raw order status -> standard status. Other values stay as they are.
@@ -42,6 +44,9 @@ PLACE_LINE = "  Example: %s %s"
 REMOVED_LINE = "Removed duplicates: %d"
 FINAL_LINE = "Final customer count: %d"
 
+# Fixed value: the reject report lists example customer ids up to this many rejected orders.
+SHOW_REJECTED_UP_TO = 10
+
 DATE_COLUMNS = ["order_purchase_timestamp", "order_delivered_customer_date"]
 
 
@@ -62,18 +67,6 @@ def keep_first(df: DataFrame, keys: list[str], order_by: list[str] | None = None
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
-def members_of_repeated_groups(df: DataFrame, keys: list[str]) -> DataFrame:
-    """All rows whose key (NULLs compare equal) occurs more than once."""
-    repeated = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > 1)
-        .select(*[F.col(key).alias(f"_key_{key}") for key in keys])
-    )
-    same_key = [F.col(key).eqNullSafe(F.col(f"_key_{key}")) for key in keys]
-    return df.join(repeated, same_key, "left_semi")
-
-
 def repeated_groups(df: DataFrame, key: str) -> DataFrame:
     """Key and size of every group with more than one row; NULL keys left out."""
     return (
@@ -224,70 +217,46 @@ def bad_dates(orders: DataFrame, fmt: str | None = None) -> DataFrame:
     )
 
 
-def _conformed_orders(
+def conform_orders(
     orders: DataFrame,
-    customers: DataFrame | None,
-    fmt: str | None,
-    strict_status: bool,
-    undelivered: str,
+    fmt: str | None = None,
+    strict_status: bool = False,
+    undelivered: str = "zero",
 ) -> DataFrame:
-    """Cleaned, deduplicated orders with ``_known``: true where the customer exists.
+    """Orders with parsed dates and standard status, one row per order_id, and delivery days.
 
-    The customer flag is looked up before the deduplication. The row a group keeps does not depend on
-    it, and the result leaves here partitioned by ``order_id``, the key of the join with the items.
+    ``undelivered="zero"`` gives orders without both dates 0 delivery days; ``"null"`` leaves NULL.
     """
     if undelivered not in ("zero", "null"):
         raise ValueError("undelivered must be 'zero' or 'null'")
-    columns = orders.columns
-    rows = orders.withColumns(
-        {
-            "order_purchase_timestamp": parse_timestamp("order_purchase_timestamp", fmt),
-            "order_status": normalise_status(F.col("order_status"), strict_status),
-        }
+    dates = {name: parse_timestamp(name, fmt) for name in DATE_COLUMNS if name in orders.columns}
+    status = normalise_status(F.col("order_status"), strict_status)
+    rows = keep_first(orders.withColumns({**dates, "order_status": status}), ["order_id"])
+    if "order_delivered_customer_date" not in orders.columns:
+        return rows
+    days = floor_days(F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date"))
+    return rows.withColumn(
+        "delivery_time_days", F.coalesce(days, F.lit(0)) if undelivered == "zero" else days
     )
-    if "order_delivered_customer_date" in columns:
-        rows = rows.withColumn(
-            "order_delivered_customer_date", parse_timestamp("order_delivered_customer_date", fmt)
-        )
-    first_by = row_order(rows, ["order_id"])
-    if customers is None:
-        rows = rows.withColumn("_known", F.lit(True))
-    else:
-        ids = customers.filter(F.col("customer_id").isNotNull()).select("customer_id").distinct()
-        rows = rows.join(ids.withColumn("_known", F.lit(True)), "customer_id", "left").select(
-            *columns, F.coalesce(F.col("_known"), F.lit(False)).alias("_known")
-        )
-    rows = keep_first(rows, ["order_id"], first_by)
-    if "order_delivered_customer_date" in columns:
-        days = floor_days(F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date"))
-        rows = rows.withColumn(
-            "delivery_time_days", F.coalesce(days, F.lit(0)) if undelivered == "zero" else days
-        )
-    return rows
 
 
-def transform_orders(
-    orders: DataFrame,
-    customers: DataFrame | None = None,
-    fmt: str | None = None,
-    strict_status: bool = False,
-    undelivered: str = "zero",
-) -> DataFrame:
-    """Silver orders. With ``customers``, orders of unknown customers are left out.
-
-    ``undelivered="zero"`` gives orders without both dates 0 delivery days; ``"null"`` leaves NULL.
-    """
-    rows = _conformed_orders(orders, customers, fmt, strict_status, undelivered)
-    return rows.filter("_known").drop("_known")
+def transform_orders(orders: DataFrame, customers: DataFrame | None = None, **options) -> DataFrame:
+    """Silver orders (options as ``conform_orders``). With ``customers``, orders of others are left out."""
+    rows = conform_orders(orders, **options)
+    if customers is None:
+        return rows
+    return rows.join(customers.select("customer_id"), "customer_id", "left_semi").select(*rows.columns)
 
 
-def rejected_orders(orders: DataFrame, customers: DataFrame, fmt: str | None = None) -> DataFrame:
+def rejected_orders(orders: DataFrame, customers: DataFrame, **options) -> DataFrame:
     """The orders that ``transform_orders`` leaves out."""
-    rows = _conformed_orders(orders, customers, fmt, False, "zero")
-    return rows.filter(~F.col("_known")).drop("_known")
+    rows = conform_orders(orders, **options)
+    return rows.join(customers.select("customer_id"), "customer_id", "left_anti").select(*rows.columns)
 
 
-def rejected_report(rejected: DataFrame, show_up_to: int = 10, examples: int = 5) -> DataFrame:
+def rejected_report(
+    rejected: DataFrame, show_up_to: int = SHOW_REJECTED_UP_TO, examples: int = 5
+) -> DataFrame:
     """One row: how many orders were rejected, and example customer ids if there are only a few."""
     sample = (
         rejected.select(F.col("customer_id").cast("string").alias("id"))

@@ -6,6 +6,10 @@ no plan needs the row-multiplying Expand of several COUNT(DISTINCT ..).
 
 Where a customer attribute is needed, order figures are first added up per customer, so that a customer with
 very many orders meets the customer table as a handful of rows.
+
+Items cross the network once, by order_id; the roll-up per order then needs no further shuffle. Item
+joins by product and by order are joins of plain shuffles, so that Spark splits a hot product or order at run
+time (AQE skew join).
 """
 
 from __future__ import annotations

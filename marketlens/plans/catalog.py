@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import cached_property
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -287,8 +288,20 @@ def clean_tables(t: Tables) -> dict[str, DataFrame]:
     }
 
 
+_tables: WeakKeyDictionary[SparkSession, dict[str, Tables]] = WeakKeyDictionary()
+
+
+def tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """The tables of a session and folder. They are plans, not data: only the analysis is shared."""
+    by_folder = _tables.setdefault(spark, {})
+    if sf_dir not in by_folder:
+        by_folder[sf_dir] = Tables(spark, sf_dir)
+    return by_folder[sf_dir]
+
+
 def _bind(build: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: build(Tables(spark, sf_dir))
+    # select("*") gives a new DataFrame each time, so that every action on it runs in full.
+    return lambda spark, sf_dir: build(tables(spark, sf_dir)).select("*")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -22,6 +22,8 @@ def build_session(app: str = "marketlens", master: str | None = None, **conf: st
     if master is not None:
         builder = builder.master(master)
         if master.startswith("local"):
+            # On one machine a shuffle is never remote, so reading it by mapper only costs parallelism.
+            conf = {"spark.sql.adaptive.localShuffleReader.enabled": "false", **conf}
             builder = builder.config("spark.driver.host", "127.0.0.1").config(
                 "spark.driver.bindAddress", "127.0.0.1"
             )
