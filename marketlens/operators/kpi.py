@@ -335,6 +335,7 @@ def metrics_summary(orders: DataFrame, items: DataFrame) -> DataFrame:
     promised = late_versus_promised(orders).scalar()
     names = ["gmv", "total_orders", "unique_customers", "aov", "late_delivery_share"]
     row = order_total_summary(orders, items).withColumn("late_delivery_share", promised)
-    return row.select(*[F.col(name).cast("double") for name in names]).unpivot(
-        [], names, "metric", "value"
-    )
+    entries = [
+        F.struct(F.lit(name).alias("metric"), F.col(name).cast("double").alias("value")) for name in names
+    ]
+    return row.select(F.inline(F.array(*entries)))
