@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.dates import month_start
 from marketlens.operators import clean, cohort, dims, kpi, marts, quality, rfm, sla
-from marketlens.session import apply_scale_settings, build_session
+from marketlens.session import apply_scale_settings, build_session, size_shuffles
 from marketlens.sources import schemas
 from marketlens.sources.readers import read_csv_source, read_optional_source, read_stored
 from marketlens.sources.writers import save_csv, save_json, save_report, save_stored
@@ -105,8 +105,10 @@ def store_marts(spark: SparkSession, store: str) -> None:
     apply_scale_settings(spark)
     t = _silver(spark, store)
     daily = marts.daily_category(t["orders"], t["items"], t["products"])
+    by_month = daily.withColumn("order_month", month_start(F.col("order_date")))
+    # Rebalancing gives every month few files of good size instead of one per task.
     save_stored(
-        daily.withColumn("order_month", month_start(F.col("order_date"))),
+        by_month.hint("rebalance", F.col("order_month")),
         store,
         "mart_daily_category",
         partition_by=["order_month"],
@@ -184,6 +186,14 @@ def run_cohorts(spark: SparkSession, store: str, reports: str) -> None:
     save_csv(cohort.repeat_customers(orders), f"{reports}/repeat_customers")
 
 
+def run_person_cohorts(spark: SparkSession, raw_folder: str, reports: str) -> None:
+    """Retention of persons. It needs the orders of all their customer ids, so it starts from the raw files."""
+    raw = read_raw(spark, raw_folder)
+    counts = cohort.cohort_counts_by_person(clean.transform_orders(raw["orders"]), raw["customers"])
+    retention = cohort.cohort_retention(counts)
+    save_csv(retention.orderBy("cohort_month"), f"{reports}/cohort_retention_by_person")
+
+
 def run_rfm(spark: SparkSession, store: str, reports: str, snapshot: str = rfm.SNAPSHOT) -> None:
     t = _silver(spark, store)
     segments = rfm.rfm_segments(rfm.rfm_scores(t["orders"], t["items"], snapshot))
@@ -228,39 +238,40 @@ def run_all(spark: SparkSession, raw_folder: str, store: str, reports: str) -> N
     run_kpis(spark, store, reports)
     run_dashboard(spark, store, reports)
     run_cohorts(spark, store, reports)
+    run_person_cohorts(spark, raw_folder, reports)
     run_rfm(spark, store, reports)
     run_sla(spark, store, reports)
 
 
+JOBS = {
+    "etl": lambda spark, a: run_etl(spark, a.raw, a.store, a.reports),
+    "marts": lambda spark, a: store_marts(spark, a.store),
+    "quality": lambda spark, a: run_quality(spark, a.store, a.reports),
+    "kpis": lambda spark, a: run_kpis(spark, a.store, a.reports),
+    "dashboard": lambda spark, a: run_dashboard(spark, a.store, a.reports),
+    "cohorts": lambda spark, a: run_cohorts(spark, a.store, a.reports),
+    "person-cohorts": lambda spark, a: run_person_cohorts(spark, a.raw, a.reports),
+    "rfm": lambda spark, a: run_rfm(spark, a.store, a.reports),
+    "sla": lambda spark, a: run_sla(spark, a.store, a.reports),
+    "all": lambda spark, a: run_all(spark, a.raw, a.store, a.reports),
+}
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="marketlens.jobs")
-    parser.add_argument(
-        "job", choices=["etl", "marts", "quality", "kpis", "dashboard", "cohorts", "rfm", "sla", "all"]
-    )
-    parser.add_argument("--raw", help="folder of the raw CSV files")
+    parser.add_argument("job", choices=list(JOBS))
+    parser.add_argument("--raw", help="folder of the raw CSV files (etl, person-cohorts, all)")
     parser.add_argument("--store", required=True, help="folder of the stored tables")
     parser.add_argument("--reports", help="folder of the reports; default <store>/reports")
+    parser.add_argument("--input-gb", type=float, default=0, help="size of the raw files, sizes the shuffles")
     given = parser.parse_args(arguments)
-    reports = given.reports or f"{given.store.rstrip('/')}/reports"
-    if given.job in ("etl", "all") and given.raw is None:
-        parser.error("--raw is needed to run the ETL")
+    given.reports = given.reports or f"{given.store.rstrip('/')}/reports"
+    if given.job in ("etl", "person-cohorts", "all") and given.raw is None:
+        parser.error(f"--raw is needed for {given.job}")
     spark = apply_scale_settings(build_session())
-    if given.job == "etl":
-        run_etl(spark, given.raw, given.store, reports)
-    elif given.job == "marts":
-        store_marts(spark, given.store)
-    elif given.job == "all":
-        run_all(spark, given.raw, given.store, reports)
-    else:
-        run = {
-            "quality": run_quality,
-            "kpis": run_kpis,
-            "dashboard": run_dashboard,
-            "cohorts": run_cohorts,
-            "rfm": run_rfm,
-            "sla": run_sla,
-        }[given.job]
-        run(spark, given.store, reports)
+    if given.input_gb:
+        size_shuffles(spark, given.input_gb)
+    JOBS[given.job](spark, given)
 
 
 if __name__ == "__main__":

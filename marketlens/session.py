@@ -16,6 +16,9 @@ SCALE_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Beyond this the blocks of map and reduce tasks become too many and too small to fetch well.
+MAX_SHUFFLE_PARTITIONS = 100_000
+
 
 def build_session(app: str = "marketlens", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -39,6 +42,19 @@ def apply_scale_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_gb: float, partition_mb: int = 256) -> int:
+    """Enough shuffle partitions that one holds about ``partition_mb`` of an input of ``input_gb``.
+
+    The default of 200 would make partitions of 500 GB out of 100 TB. Asking for too many is harmless:
+    Spark merges small ones at run time. Never lowers a setting.
+    """
+    wanted = min(int(input_gb * 1024 / partition_mb) + 1, MAX_SHUFFLE_PARTITIONS)
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, current)
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the cluster's shared folder (``spark.checkpoint.dir``).
 

@@ -10,7 +10,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from marketlens.functions.dates import parse_timestamp
 from marketlens.functions.money import nan_to_null
 
-# Position of a row in its source files; added on request and used by "keep first" operators.
+# Position of a row in its source files (name, block, running number within the scan); added on request and
+# used by "keep first" operators.
 FILE_ORDER = "_file_order"
 
 
@@ -33,7 +34,7 @@ def read_csv_source(
     ]
     if file_order:
         position = F.struct(
-            F.col("_metadata.file_path"),
+            F.col("_metadata.file_name"),
             F.col("_metadata.file_block_start"),
             F.monotonically_increasing_id().alias("row"),
         )

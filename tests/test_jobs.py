@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from marketlens import jobs
-from marketlens.session import work_dir
+from marketlens.session import size_shuffles, work_dir
 from marketlens.sources import readers, schemas, writers
 
 FILES = {
@@ -135,6 +135,8 @@ def test_all_jobs(spark, raw, tmp_path):
         ("2018-01", 1, None, None, None),
         ("2018-02", 1, None, None, None),
     ]
+    persons = readers.read_published(spark, f"{reports}/cohort_retention_by_person", schemas.COHORT_FILE)
+    assert sorted(tuple(r)[:2] for r in persons.collect()) == [("2018-01", 1), ("2018-02", 1)]
     # Too few orders per city and category: nothing is published.
     assert not pathlib.Path(f"{reports}/sla_analysis_results").exists()
     assert spark.read.parquet(f"{store}/rfm_segments").count() == 3
@@ -178,3 +180,14 @@ def test_work_dir_uses_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = work_dir(spark, "x"), work_dir(spark, "x")
     assert first.startswith(shared) and first != second
+
+
+def test_shuffles_follow_the_input_size(spark):
+    saved = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 0.001) == int(saved)
+        assert size_shuffles(spark, 1024) == 4097
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "4097"
+        assert size_shuffles(spark, 100 * 1024) == 100_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", saved)
