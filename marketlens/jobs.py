@@ -101,10 +101,13 @@ def _silver(spark: SparkSession, store: str) -> dict[str, DataFrame]:
 
 
 def store_marts(spark: SparkSession, store: str) -> None:
-    """Build and replace the four marts from the silver tables. The daily mart is split by month."""
+    """Stage the sales lines, then replace the four marts. The daily mart is split by month."""
     apply_scale_settings(spark)
     t = _silver(spark, store)
-    daily = marts.daily_category(t["orders"], t["items"], t["products"])
+    save_stored(marts.sales_lines(t["orders"], t["items"], t["products"]), store, "stage_sales_lines")
+    lines = read_stored(spark, store, "stage_sales_lines")
+    built = marts.marts_of_lines(lines, t["customers"], t["products"])
+    daily = built.pop("mart_daily_category")
     by_month = daily.withColumn("order_month", month_start(F.col("order_date")))
     # Rebalancing gives every month few files of good size instead of one per task.
     save_stored(
@@ -113,11 +116,8 @@ def store_marts(spark: SparkSession, store: str) -> None:
         "mart_daily_category",
         partition_by=["order_month"],
     )
-    save_stored(marts.weekly_city(t["orders"], t["customers"], t["items"]), store, "mart_weekly_city")
-    products = marts.product_performance(t["orders"], t["items"], t["products"])
-    save_stored(products, store, "mart_product_performance")
-    delivery = marts.delivery_analysis(t["orders"], t["customers"], t["items"], t["products"])
-    save_stored(delivery, store, "mart_delivery_analysis")
+    for name, mart in built.items():
+        save_stored(mart, store, name)
 
 
 def stored_audit(spark: SparkSession, store: str) -> DataFrame:

@@ -14,7 +14,7 @@ time (AQE skew join).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions.dates import week_start
@@ -79,10 +79,14 @@ def daily_category(orders: DataFrame, items: DataFrame, products: DataFrame) ->
         .groupBy("order_id", "customer_id", "order_date", "product_category_name")
         .agg(*item_sums())
     )
+    return _daily_category(per_order.withColumn("orders", F.lit(1)))
+
+
+def _daily_category(parts: DataFrame) -> DataFrame:
     return (
-        per_order.groupBy("order_date", "product_category_name")
+        parts.groupBy("order_date", "product_category_name")
         .agg(
-            F.count(F.lit(1)).alias("orders_count"),
+            F.sum("orders").alias("orders_count"),
             F.countDistinct("customer_id").alias("customers_count"),
             F.sum("gross").alias("gross"),
             F.sum("items").alias("items_count"),
@@ -116,6 +120,10 @@ def weekly_city(orders: DataFrame, customers: DataFrame, items: DataFrame) -> Da
             F.sum("items").alias("items"),
         )
     )
+    return _weekly_city(per_customer, customers)
+
+
+def _weekly_city(per_customer: DataFrame, customers: DataFrame) -> DataFrame:
     cities = customers.filter(F.col("customer_city").isNotNull()).select(
         "customer_id", "customer_unique_id", "customer_city"
     )
@@ -149,6 +157,10 @@ def product_performance(orders: DataFrame, items: DataFrame, products: DataFrame
         .groupBy("order_id", "customer_id", "product_id")
         .agg(*item_sums())
     )
+    return _product_performance(per_order, products)
+
+
+def _product_performance(per_order: DataFrame, products: DataFrame) -> DataFrame:
     per_product = per_order.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("orders_count"),
         F.countDistinct("customer_id").alias("customers_count"),
@@ -205,6 +217,10 @@ def delivery_analysis(
             F.sum("late").alias("late"),
         )
     )
+    return _delivery_analysis(per_customer, customers)
+
+
+def _delivery_analysis(per_customer: DataFrame, customers: DataFrame) -> DataFrame:
     cities = customers.filter(F.col("customer_city").isNotNull()).select("customer_id", "customer_city")
     return (
         per_customer.join(cities, "customer_id")
@@ -222,3 +238,68 @@ def delivery_analysis(
             percent(F.col("late"), F.col("orders_count")).alias("late_delivery_percent"),
         )
     )
+
+
+# --- all marts from one staged table ---------------------------------------------------------------
+
+
+def sales_lines(
+    orders: DataFrame, items: DataFrame, products: DataFrame, late_days: int = LATE_DAYS
+) -> DataFrame:
+    """Sales per order and product, with all that the marts need.
+
+    Joining items and orders is the one large shuffle behind every mart. Staged once, this table serves them
+    all without repeating it. ``new_order`` is 1 on one line of each order and ``new_in_category`` on one line of
+    each order and category, so distinct orders become plain sums. Both rest on the partitioning by order that the
+    join leaves, and on one sort.
+    """
+    per_order = orders.select(
+        "order_id",
+        "customer_id",
+        F.col("order_purchase_timestamp").cast("date").alias("order_date"),
+        F.col("delivery_time_days").cast("bigint").alias("days"),
+        is_late(late_days).cast("bigint").alias("late"),
+    )
+    categories = products.select("product_id", "product_category_name", F.lit(True).alias("known_product"))
+    keys = ["order_id", *per_order.columns[1:], "product_id", "product_category_name", "known_product"]
+    lines = (
+        measured_items(items)
+        .join(categories, "product_id", "left")
+        .join(per_order, "order_id")
+        .groupBy(*keys)
+        .agg(*item_sums(), F.count(F.lit(1)).alias("n_rows"))
+    )
+    in_category = Window.partitionBy("order_id", "product_category_name").orderBy("product_id")
+    in_order = Window.partitionBy("order_id").orderBy("product_category_name", "product_id")
+    return lines.withColumns(
+        {
+            "new_in_category": (F.row_number().over(in_category) == 1).cast("int"),
+            "new_order": (F.row_number().over(in_order) == 1).cast("int"),
+        }
+    )
+
+
+def marts_of_lines(lines: DataFrame, customers: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
+    """The four marts from staged sales lines, equal to the ones built directly."""
+    in_category = lines.filter(F.col("product_category_name").isNotNull())
+    weekly = lines.groupBy("customer_id", F.trunc("order_date", "week").alias("week_start")).agg(
+        F.sum("new_order").alias("orders"),
+        F.sum("gross").alias("gross"),
+        F.sum("gross_rows").alias("gross_rows"),
+        F.sum("items").alias("items"),
+    )
+    delivery = (
+        in_category.filter(F.col("days").isNotNull())
+        .groupBy("customer_id", "product_category_name")
+        .agg(
+            F.sum("n_rows").alias("n_rows"),
+            F.sum(F.col("days") * F.col("n_rows")).alias("days"),
+            F.sum(F.col("late") * F.col("n_rows")).alias("late"),
+        )
+    )
+    return {
+        "mart_daily_category": _daily_category(in_category.withColumnRenamed("new_in_category", "orders")),
+        "mart_weekly_city": _weekly_city(weekly, customers),
+        "mart_product_performance": _product_performance(lines.filter("known_product"), products),
+        "mart_delivery_analysis": _delivery_analysis(delivery, customers),
+    }

@@ -94,6 +94,12 @@ class Tables:
     def delivery_analysis(self) -> DataFrame:
         return marts.delivery_analysis(self.orders, self.customers, self.items, self.products)
 
+    @cached_property
+    def staged_marts(self) -> dict[str, DataFrame]:
+        """The marts by way of the sales lines, which the mart job stores in between."""
+        lines = marts.sales_lines(self.orders, self.items, self.products)
+        return marts.marts_of_lines(lines, self.customers, self.products)
+
     @cached_property
     def cohort_counts(self) -> DataFrame:
         return cohort.cohort_counts(self.orders)
@@ -224,6 +230,10 @@ BY_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     "mart_weekly_city": lambda t: t.weekly_city,
     "mart_product_performance": lambda t: t.product_performance,
     "mart_delivery_analysis": lambda t: t.delivery_analysis,
+    "mart_daily_category_staged": lambda t: t.staged_marts["mart_daily_category"],
+    "mart_weekly_city_staged": lambda t: t.staged_marts["mart_weekly_city"],
+    "mart_product_performance_staged": lambda t: t.staged_marts["mart_product_performance"],
+    "mart_delivery_analysis_staged": lambda t: t.staged_marts["mart_delivery_analysis"],
     # KPIs
     "kpi_gmv_totals": lambda t: kpi.gmv_totals(t.orders, t.items),
     "kpi_overall": lambda t: kpi.overall(t.orders, t.items, t.customers),

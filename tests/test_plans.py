@@ -92,6 +92,26 @@ def test_items_cross_the_network_once_for_the_daily_mart(spark, no_broadcast, tm
     ]
 
 
+def test_sales_lines_shuffle_the_items_once(spark, no_broadcast, tmp_path):
+    t = catalog.Tables(spark, SF_DIR)
+    frames = {}
+    for name in ("orders", "items", "products"):
+        getattr(t, name).write.parquet(str(tmp_path / name))
+        frames[name] = spark.read.parquet(str(tmp_path / name))
+    text = plan(marts.sales_lines(**frames))
+    # Items and products by product, items and orders by order; roll-up and both windows add none.
+    assert text.count("Exchange") == 4
+    assert text.count("Window") == 2
+    lines_path = str(tmp_path / "lines")
+    marts.sales_lines(**frames).write.parquet(lines_path)
+    lines = spark.read.parquet(lines_path)
+    built = marts.marts_of_lines(lines, t.customers, frames["products"])
+    assert "order_id" not in plan(built["mart_daily_category"])
+    direct = t.daily_category
+    assert built["mart_daily_category"].select(direct.columns).exceptAll(direct).count() == 0
+    assert direct.exceptAll(built["mart_daily_category"].select(direct.columns)).count() == 0
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, no_broadcast):
     from marketlens.sources.writers import save_catalog_table
 
