@@ -1,6 +1,6 @@
 """Batch jobs: raw files to stored tables, marts and published reports.
 
-    spark-submit --py-files marketlens.zip -m marketlens.jobs all --raw s3://.../raw --store s3://.../store
+    main(["all", "--raw", "<folder>", "--store", "<folder>", "--input-gb", "100000"])
 
 Every stage reads what the stage before it stored, so a lost executor costs the tasks it ran and a failed
 job restarts at its own stage.
