@@ -36,6 +36,10 @@ SILVER = [
 ]
 
 
+# Sales per order and product. The mart job stores them; marts and reports start from them.
+SALES_LINES = "stage_sales_lines"
+
+
 def read_raw(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The raw CSV sources of a folder, with file positions. Sellers may be missing."""
     raw = {}
@@ -85,13 +89,14 @@ def run_etl(spark: SparkSession, raw_folder: str, store: str, reports: str | Non
     stored = {name: read_stored(spark, store, name) for name in SILVER}
     rejected = rejected_summary(raw["orders"], stored["dim_customers"], stored["fact_orders"])
     save_csv(rejected, f"{reports}/rejected_orders")
-    save_report(clean.dedup_report(raw["customers"]), f"{reports}/deduplication_report")
+    save_report(clean.dedup_report(raw["customers"]), f"{reports}/dedup_report")
     save_csv(clean.bad_dates(raw["orders"]), f"{reports}/bad_dates")
     save_csv(clean.item_rule_counts(raw["order_items"]), f"{reports}/item_rules")
     save_csv(clean.shape_audit({"raw": raw, "stored": stored}), f"{reports}/audit")
 
 
 def _silver(spark: SparkSession, store: str) -> dict[str, DataFrame]:
+    apply_scale_settings(spark)
     return {
         "orders": read_stored(spark, store, "fact_orders"),
         "customers": read_stored(spark, store, "dim_customers"),
@@ -104,8 +109,8 @@ def store_marts(spark: SparkSession, store: str) -> None:
     """Stage the sales lines, then replace the four marts. The daily mart is split by month."""
     apply_scale_settings(spark)
     t = _silver(spark, store)
-    save_stored(marts.sales_lines(t["orders"], t["items"], t["products"]), store, "stage_sales_lines")
-    lines = read_stored(spark, store, "stage_sales_lines")
+    save_stored(marts.sales_lines(t["orders"], t["items"], t["products"]), store, SALES_LINES)
+    lines = read_stored(spark, store, SALES_LINES)
     built = marts.marts_of_lines(lines, t["customers"], t["products"])
     daily = built.pop("mart_daily_category")
     by_month = daily.withColumn("order_month", month_start(F.col("order_date")))
@@ -146,22 +151,21 @@ def run_quality(spark: SparkSession, store: str, reports: str) -> None:
 def run_kpis(spark: SparkSession, store: str, reports: str) -> None:
     """KPI record as JSON and as a text report, and the short summary."""
     t = _silver(spark, store)
+    lines = read_stored(spark, store, SALES_LINES)
     retention = cohort.cohort_retention(cohort.cohort_counts(t["orders"]))
     document = kpi.kpi_document(
-        kpi.overall(t["orders"], t["items"], t["customers"]),
+        kpi.overall_of_lines(lines, t["customers"]),
         kpi.category_revenue(read_stored(spark, store, "mart_product_performance")),
         kpi.late_percent(t["orders"]),
         kpi.delivery_by_city(read_stored(spark, store, "mart_delivery_analysis")),
         kpi.retention_record(cohort.average_retention(retention)),
     )
-    save_json(document, f"{reports}/final_metrics")
-    stored = spark.read.schema(document.schema).json(f"{reports}/final_metrics")
-    save_report(kpi.kpi_report(stored), f"{reports}/final_metrics_report")
-    save_csv(kpi.metrics_summary(t["orders"], t["items"]), f"{reports}/metrics_summary")
+    save_json(document, f"{reports}/kpi_record")
+    stored = spark.read.schema(document.schema).json(f"{reports}/kpi_record")
+    save_report(kpi.kpi_report(stored), f"{reports}/kpi_report")
+    save_csv(kpi.metrics_summary(t["orders"], t["items"]), f"{reports}/kpi_summary")
     save_csv(cohort.retention_m0_m1(t["orders"]).orderBy("cohort_month"), f"{reports}/retention_m0_m1")
-    save_csv(
-        kpi.top_categories(t["orders"], t["items"], t["products"], 5), f"{reports}/top_categories"
-    )
+    save_csv(kpi.top_categories_of_lines(lines, 5), f"{reports}/top_categories")
 
 
 def run_dashboard(spark: SparkSession, store: str, reports: str) -> None:
@@ -172,16 +176,16 @@ def run_dashboard(spark: SparkSession, store: str, reports: str) -> None:
     products = read_stored(spark, store, "mart_product_performance")
     save_csv(kpi.top_products(products), f"{reports}/top_products")
     save_csv(kpi.top_cities(read_stored(spark, store, "mart_weekly_city")), f"{reports}/top_cities")
-    save_csv(kpi.item_kpis(t["orders"], t["items"]), f"{reports}/item_kpis")
+    save_csv(kpi.item_kpis_of_lines(read_stored(spark, store, SALES_LINES)), f"{reports}/item_kpis")
     save_csv(kpi.delivery_kpis(t["orders"]), f"{reports}/delivery")
 
 
 def run_cohorts(spark: SparkSession, store: str, reports: str) -> None:
     orders = read_stored(spark, store, "fact_orders")
     retention = cohort.cohort_retention(cohort.cohort_counts(orders))
-    save_csv(retention.orderBy("cohort_month"), f"{reports}/cohort_retention_data")
+    save_csv(retention.orderBy("cohort_month"), f"{reports}/cohort_retention")
     published = spark.read.schema(schemas.COHORT_FILE).option("header", True)
-    averages = cohort.average_retention(published.csv(f"{reports}/cohort_retention_data"))
+    averages = cohort.average_retention(published.csv(f"{reports}/cohort_retention"))
     save_csv(averages, f"{reports}/cohort_averages")
     save_csv(cohort.repeat_customers(orders), f"{reports}/repeat_customers")
 
@@ -195,8 +199,9 @@ def run_person_cohorts(spark: SparkSession, raw_folder: str, reports: str) -> No
 
 
 def run_rfm(spark: SparkSession, store: str, reports: str, snapshot: str = rfm.SNAPSHOT) -> None:
-    t = _silver(spark, store)
-    segments = rfm.rfm_segments(rfm.rfm_scores(t["orders"], t["items"], snapshot))
+    apply_scale_settings(spark)
+    lines = read_stored(spark, store, SALES_LINES)
+    segments = rfm.rfm_segments(rfm.rfm_scores_of_lines(lines, snapshot))
     path = save_stored(segments, store, "rfm_segments")
     counts = rfm.segment_counts(spark.read.parquet(path))
     save_csv(counts.orderBy(F.col("customers").desc(), "Segment"), f"{reports}/rfm_segment_counts")
@@ -223,11 +228,10 @@ def run_sla(spark: SparkSession, store: str, reports: str) -> None:
     t = _silver(spark, store)
     save_csv(sla.sla_overall(t["orders"]), f"{reports}/sla_overall")
     city = sla.sla_city(t["orders"], t["customers"])
-    category = sla.sla_category(t["orders"], t["items"], t["products"])
-    publish_sla(city, category, f"{reports}/sla_analysis_results")
+    lines = read_stored(spark, store, SALES_LINES)
+    publish_sla(city, sla.sla_category_of_lines(lines), f"{reports}/sla_city_category")
     save_csv(sla.median_by_city(t["orders"], t["customers"]), f"{reports}/sla_median_city")
-    medians = sla.median_by_category(t["orders"], t["items"], t["products"])
-    save_csv(medians, f"{reports}/sla_median_category")
+    save_csv(sla.median_by_category_of_lines(lines), f"{reports}/sla_median_category")
 
 
 def run_all(spark: SparkSession, raw_folder: str, store: str, reports: str) -> None:

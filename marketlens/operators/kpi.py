@@ -52,25 +52,37 @@ def _top(df: DataFrame, figure: str, key: str, k: int | None) -> DataFrame:
 # --- sales ---------------------------------------------------------------------------------------
 
 
+# ``of_lines`` variants start from the staged sales lines of the marts and need no join of items and orders.
+
+
 def _orders_with_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
-    totals = order_totals(items).select("order_id", "gross", "gross_rows")
+    totals = order_totals(items).select("order_id", "gross", "gross_rows", F.lit(1).alias("new_order"))
     return totals.join(orders.select("order_id", "customer_id"), "order_id")
 
 
-def gmv_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Orders with items, their customers, and GMV."""
-    return _orders_with_totals(orders, items).agg(
-        F.count(F.lit(1)).alias("total_orders"),
+def _gmv(lines: DataFrame, *more: Column) -> DataFrame:
+    return lines.agg(
+        F.coalesce(F.sum("new_order"), F.lit(0)).alias("total_orders"),
         F.countDistinct("customer_id").alias("total_customers"),
         from_cents(F.sum("gross")).alias("gmv"),
+        *more,
     )
 
 
+def gmv_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Orders with items, their customers, and GMV."""
+    return _gmv(_orders_with_totals(orders, items))
+
+
 def overall(orders: DataFrame, items: DataFrame, customers: DataFrame) -> DataFrame:
     """GMV and AOV (GMV per order, 0 without orders); customers are those of the dimension."""
+    return overall_of_lines(_orders_with_totals(orders, items), customers)
+
+
+def overall_of_lines(lines: DataFrame, customers: DataFrame) -> DataFrame:
     known = customers.agg(F.countDistinct("customer_unique_id")).scalar()
     average = F.when(F.col("total_orders") > 0, F.col("gmv") / F.nullif("total_orders", F.lit(0)))
-    return gmv_totals(orders, items).select(
+    return _gmv(lines).select(
         "total_orders",
         known.alias("total_customers"),
         "gmv",
@@ -80,12 +92,11 @@ def overall(orders: DataFrame, items: DataFrame, customers: DataFrame) -> DataFr
 
 def item_kpis(orders: DataFrame, items: DataFrame) -> DataFrame:
     """As ``gmv_totals``, with the mean amount per item row."""
-    return _orders_with_totals(orders, items).agg(
-        F.count(F.lit(1)).alias("total_orders"),
-        F.countDistinct("customer_id").alias("total_customers"),
-        from_cents(F.sum("gross")).alias("gmv"),
-        per(from_cents(F.sum("gross")), F.sum("gross_rows")).alias("aov"),
-    )
+    return item_kpis_of_lines(_orders_with_totals(orders, items))
+
+
+def item_kpis_of_lines(lines: DataFrame) -> DataFrame:
+    return _gmv(lines, per(from_cents(F.sum("gross")), F.sum("gross_rows")).alias("aov"))
 
 
 def order_total_summary(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -123,9 +134,17 @@ def top_categories(
         .groupBy("order_id", "product_category_name")
         .agg(F.sum("gross_cents").alias("gross"))
     )
-    sums = per_order.groupBy("product_category_name").agg(
+    return _category_sums(per_order.withColumn("new_in_category", F.lit(1)), k)
+
+
+def top_categories_of_lines(lines: DataFrame, k: int | None = 10) -> DataFrame:
+    return _category_sums(lines.filter("known_product"), k)
+
+
+def _category_sums(parts: DataFrame, k: int | None) -> DataFrame:
+    sums = parts.groupBy("product_category_name").agg(
         from_cents(F.sum("gross")).alias("revenue"),
-        F.count(F.lit(1)).alias("orders_count"),
+        F.sum("new_in_category").alias("orders_count"),
     )
     return _top(sums, "revenue", "product_category_name", k)
 

@@ -17,12 +17,15 @@ HIGH_ABOVE = 300
 def rfm_scores(orders: DataFrame, items: DataFrame, snapshot: str = SNAPSHOT) -> DataFrame:
     """Per customer, over the item rows of the orders: days since the last purchase, rows, price sum."""
     totals = order_totals(items).select("order_id", "items", "price_sum")
-    bought = orders.filter(F.col("customer_id").isNotNull()).select(
-        "order_id", "customer_id", "order_purchase_timestamp"
-    )
+    bought = orders.select("order_id", "customer_id", "order_purchase_timestamp")
+    return rfm_scores_of_lines(totals.join(bought, "order_id"), snapshot)
+
+
+def rfm_scores_of_lines(lines: DataFrame, snapshot: str = SNAPSHOT) -> DataFrame:
+    """The same from the staged sales lines of the marts."""
     last = F.max("order_purchase_timestamp")
     return (
-        totals.join(bought, "order_id")
+        lines.filter(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
         .agg(
             floor_days(last, F.lit(snapshot).cast("timestamp_ntz")).alias("Recency"),

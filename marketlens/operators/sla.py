@@ -71,14 +71,26 @@ def sla_category(
     min_rows: int = MIN_CATEGORY_ROWS,
 ) -> DataFrame:
     """Per category, counting item rows: rows, late rows, mean days, late rate."""
+    rows = _category_of_item(items, products).join(delivery_figures(orders, late_days), "order_id")
+    return _sla_category(rows.withColumn("n_rows", F.lit(1).cast("bigint")), min_rows)
+
+
+def sla_category_of_lines(lines: DataFrame, min_rows: int = MIN_CATEGORY_ROWS) -> DataFrame:
+    """The same from the staged sales lines of the marts."""
+    return _sla_category(_delivered_lines(lines), min_rows)
+
+
+def _delivered_lines(lines: DataFrame) -> DataFrame:
+    return lines.filter(F.col("days").isNotNull() & F.col("product_category_name").isNotNull())
+
+
+def _sla_category(parts: DataFrame, min_rows: int) -> DataFrame:
     return (
-        _category_of_item(items, products)
-        .join(delivery_figures(orders, late_days), "order_id")
-        .groupBy("product_category_name")
+        parts.groupBy("product_category_name")
         .agg(
-            F.count(F.lit(1)).alias("total_orders"),
-            F.sum("late").alias("late_orders"),
-            F.sum("days").alias("days"),
+            F.sum("n_rows").alias("total_orders"),
+            F.sum(F.col("late") * F.col("n_rows")).alias("late_orders"),
+            F.sum(F.col("days") * F.col("n_rows")).alias("days"),
         )
         .filter(F.col("total_orders") >= min_rows)
         .select(
@@ -144,6 +156,11 @@ def median_by_category(orders: DataFrame, items: DataFrame, products: DataFrame)
     return _median_days(rows.withColumn("n", F.lit(1).cast("bigint")), "product_category_name")
 
 
+def median_by_category_of_lines(lines: DataFrame) -> DataFrame:
+    """The same from the staged sales lines of the marts."""
+    return _median_days(_delivered_lines(lines).withColumn("n", F.col("n_rows")), "product_category_name")
+
+
 def late_versus_promised_orders(orders: DataFrame) -> DataFrame:
     """Orders with both figures known, and whether they took longer than promised."""
     both = F.col("delivery_time_days").isNotNull() & F.col("promised_time_days").isNotNull()

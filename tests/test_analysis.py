@@ -119,6 +119,23 @@ def test_daily_and_city_marts_agree_with_gmv(shop):
     assert daily.agg(F.round(F.sum("revenue"), 2)).first()[0] == gmv
 
 
+def test_staged_lines_give_the_same_figures(shop):
+    orders, items, products = shop["orders"], shop["items"], shop["products"]
+    lines = marts.sales_lines(orders, items, products).persist()
+    pairs = [
+        (kpi.overall(orders, items, shop["customers"]), kpi.overall_of_lines(lines, shop["customers"])),
+        (kpi.item_kpis(orders, items), kpi.item_kpis_of_lines(lines)),
+        (kpi.top_categories(orders, items, products), kpi.top_categories_of_lines(lines)),
+        (rfm.rfm_scores(orders, items), rfm.rfm_scores_of_lines(lines)),
+        (sla.sla_category(orders, items, products, min_rows=1), sla.sla_category_of_lines(lines, min_rows=1)),
+        (sla.median_by_category(orders, items, products), sla.median_by_category_of_lines(lines)),
+    ]
+    for direct, staged in pairs:
+        assert direct.columns == staged.columns
+        assert sorted(map(str, direct.collect())) == sorted(map(str, staged.collect()))
+    lines.unpersist()
+
+
 def test_kpis_of_nothing(empty):
     overall = kpi.overall(empty["orders"], empty["items"], empty["customers"]).first()
     assert tuple(overall) == (0, 0, None, 0.0)

@@ -111,7 +111,7 @@ def test_all_jobs(spark, raw, tmp_path):
     daily = spark.read.parquet(f"{store}/mart_daily_category").collect()
     assert {r.order_month.isoformat() for r in daily} == {"2018-01-01", "2018-02-01"}
 
-    assert lines(f"{reports}/deduplication_report") == [
+    assert lines(f"{reports}/dedup_report") == [
         "Exact duplicates by customer_unique_id: 2 records",
         "  Affected unique customers: 1",
         "  Example duplicates: {'u1': 2}",
@@ -121,16 +121,16 @@ def test_all_jobs(spark, raw, tmp_path):
         "Removed duplicates: 1",
         "Final customer count: 3",
     ]
-    record = json.loads(lines(f"{reports}/final_metrics")[0])
+    record = json.loads(lines(f"{reports}/kpi_record")[0])
     assert record["basics"] == {"total_orders": 3, "total_customers": 3, "gmv": 197.11, "aov": 197.11 / 3}
     assert record["top_categories"] == [{"product_category_name": "toys", "revenue": 142.11}]
     assert record["retention"]["retention_m0_m1"] == "0.0%"
-    assert lines(f"{reports}/final_metrics_report")[0] == "GMV (Gross Merchandise Value): R$197.11"
+    assert lines(f"{reports}/kpi_report")[0] == "GMV (Gross Merchandise Value): R$197.11"
     rejected = spark.read.option("header", True).csv(f"{reports}/rejected_orders").first()
     assert tuple(rejected) == ("1", "c9")
     bad = spark.read.option("header", True).csv(f"{reports}/bad_dates").first()
     assert tuple(bad) == ("o5", "order_purchase_timestamp", "soon")
-    cohorts = readers.read_published(spark, f"{reports}/cohort_retention_data", schemas.COHORT_FILE)
+    cohorts = readers.read_published(spark, f"{reports}/cohort_retention", schemas.COHORT_FILE)
     assert sorted(tuple(r) for r in cohorts.collect()) == [
         ("2018-01", 1, None, None, None),
         ("2018-02", 1, None, None, None),
@@ -138,7 +138,7 @@ def test_all_jobs(spark, raw, tmp_path):
     persons = readers.read_published(spark, f"{reports}/cohort_retention_by_person", schemas.COHORT_FILE)
     assert sorted(tuple(r)[:2] for r in persons.collect()) == [("2018-01", 1), ("2018-02", 1)]
     # Too few orders per city and category: nothing is published.
-    assert not pathlib.Path(f"{reports}/sla_analysis_results").exists()
+    assert not pathlib.Path(f"{reports}/sla_city_category").exists()
     assert spark.read.parquet(f"{store}/rfm_segments").count() == 3
 
     # A second run replaces all tables.
