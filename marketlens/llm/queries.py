@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import decontaminate, exact_dedup, tokens
+from marketlens.llm import decontaminate, exact_dedup, html_text, quality, tokens, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (tokens.op3_token_counts, exact_dedup.op7_exact_dedup, decontaminate.op9_decontaminate)
+    f.__name__: f
+    for f in (
+        html_text.op1_html_text,
+        quality.op2_quality,
+        tokens.op3_token_counts,
+        url_filter.op4_url_filter,
+        exact_dedup.op7_exact_dedup,
+        decontaminate.op9_decontaminate,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.OP7_SQL}
