@@ -28,10 +28,10 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of a string column and its n + 1 offsets. Null counts as empty."""
-    texts = column.cast(pa.large_string())
+    """Bytes of a string (as UTF-8) or binary column and its n + 1 offsets. Null counts as empty."""
+    texts = column.cast(pa.large_binary())
     if texts.null_count:
-        texts = pc.fill_null(texts, "")
+        texts = pc.fill_null(texts, b"")
     if not len(texts):
         return np.empty(0, np.uint8), np.zeros(1, np.int64)
     _, ends, data = texts.buffers()
