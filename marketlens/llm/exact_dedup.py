@@ -80,18 +80,20 @@ def recipes(docs: DataFrame, key: str = "doc_id", text: str = "text", digest_byt
     )
 
 
-def ambiguous(cut: DataFrame) -> DataFrame:
-    """Chunks whose digest names several contents: digest, content, rank. Usually none.
+def contents(cut: DataFrame) -> DataFrame:
+    """The distinct chunks. Copies are merged before the shuffle, so a chunk of a third of all rows is one row per task."""
+    return cut.select(F.inline("chunks")).groupBy("digest", "content").agg(F.lit(1).alias("one")).drop("one")
+
 
-    Copies of a chunk are merged before the shuffle, so a chunk of a third of all rows is one row per task.
-    """
-    contents = cut.select(F.inline("chunks")).groupBy("digest", "content").agg(F.lit(1).alias("one"))
-    shared = contents.groupBy("digest").agg(F.count("*").alias("n"), F.collect_list("content").alias("contents")).filter("n > 1")
-    return shared.select("digest", F.posexplode(F.array_sort("contents")).alias("rank", "content"))
+def ambiguous(cut: DataFrame) -> DataFrame:
+    """Digests that name several contents. Usually none."""
+    return contents(cut).groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest")
 
 
 def with_ranks(cut: DataFrame, several: DataFrame, key: str) -> DataFrame:
     """Recipes in which every identifier is a digest with the rank of its content."""
+    named = contents(cut).join(several, "digest").groupBy("digest").agg(F.array_sort(F.collect_list("content")).alias("contents"))
+    several = named.select("digest", F.posexplode("contents").alias("rank", "content"))
     pieces = cut.select(key, "text_sha256", F.posexplode_outer("chunks").alias("pos", "chunk"))
     pieces = pieces.select(key, "text_sha256", "pos", F.col("chunk.digest").alias("digest"), F.col("chunk.content").alias("content"))
     ids = pieces.join(several, ["digest", "content"], "left").withColumn(
@@ -104,9 +106,10 @@ def with_ranks(cut: DataFrame, several: DataFrame, key: str) -> DataFrame:
 def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", digest_bytes: int = 16) -> DataFrame:
     """Per row: key, keep_id, group_size, kept, text_sha256. ``key`` must be unique."""
     cut = staged(recipes(docs, key, text, digest_bytes), "recipes")
-    several = staged(ambiguous(cut), "chunk-ids")
+    several = staged(ambiguous(cut), "digests")
     lists = cut.select(key, "text_sha256", "recipe") if several.isEmpty() else with_ranks(cut, several, key)
-    groups = lists.groupBy("recipe").agg(F.max(key).alias("keep_id"), F.count("*").alias("group_size"))
+    # Stored, so that both sides of the join are plain shuffles and Spark can split a recipe that very many rows have.
+    groups = staged(lists.groupBy("recipe").agg(F.max(key).alias("keep_id"), F.count("*").alias("group_size")), "recipe-groups")
     return lists.join(groups, "recipe").select(
         key, "keep_id", "group_size", (F.col(key) == F.col("keep_id")).alias("kept"), "text_sha256"
     )
