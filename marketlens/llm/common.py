@@ -117,3 +117,11 @@ def in_runs(lengths: np.ndarray) -> np.ndarray:
     """0, 1, .. for each length, one run after the other."""
     ends = np.cumsum(lengths)
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths)
+
+
+def distinct_items(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct (hash, text) pairs in some order, and how often each occurs."""
+    order = np.argsort(mixed(hashes ^ mixed(text.astype(np.uint64))), kind="stable")
+    h, t = hashes[order], text[order]
+    fresh = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (t[1:] != t[:-1])][: len(h)])
+    return h[fresh], t[fresh], np.diff(np.r_[fresh, len(h)])

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import SpanHash, mixed, slices, table, text_bytes, word_spans
+from marketlens.llm.common import SpanHash, distinct_items, slices, table, text_bytes, word_spans
 
 SAMPLE = 16_000
 BINS, TREES, DEPTH, RATE, LEAF, PENALTY = 64, 40, 4, 0.2, 20, 1.0
@@ -45,14 +45,11 @@ STATISTICS = (
 
 def _group_shares(hashes: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Of each text's items: the share of distinct ones, and the share of the most frequent one."""
-    order = np.argsort(mixed(hashes ^ mixed(text.astype(np.uint64))), kind="stable")
-    h, t = hashes[order], text[order]
-    fresh = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (t[1:] != t[:-1])]) if len(h) else np.empty(0, np.int64)
-    runs = np.diff(np.r_[fresh, len(h)])
+    _, own, runs = distinct_items(hashes, text)
     total = np.maximum(np.bincount(text, minlength=n), 1)
     most = np.zeros(n)
-    np.maximum.at(most, t[fresh], runs)
-    return np.bincount(t[fresh], minlength=n) / total, most / total
+    np.maximum.at(most, own, runs)
+    return np.bincount(own, minlength=n) / total, most / total
 
 
 def statistics(column: pa.Array) -> np.ndarray:

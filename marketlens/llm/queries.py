@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import decontaminate, exact_dedup, html_text, quality, substrings, tokens, toxicity, url_filter
+from marketlens.llm import decontaminate, exact_dedup, html_text, near_dedup, quality, substrings, tokens, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         quality.op2_quality,
         tokens.op3_token_counts,
         url_filter.op4_url_filter,
+        near_dedup.op5_near_duplicates,
         toxicity.op6_toxicity,
         exact_dedup.op7_exact_dedup,
         decontaminate.op9_decontaminate,
