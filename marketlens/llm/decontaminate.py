@@ -13,7 +13,8 @@ Test items reach the tasks as broadcast blocks of at most ``BLOCK_ITEMS`` items
 blocks are further searches of the stored index. (An item longer than that is a block alone.)
 
 Words: A-Z lower-cased, then runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]``. Null and empty texts have no words and are
-not contaminated; items without words match nothing. Items with equal texts all match. Extra columns are not read.
+not contaminated; items without words match nothing. Items with equal texts all match. Rows with equal keys are one
+document if several blocks are searched, which needs a key in every row. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -74,9 +75,8 @@ def build_index(docs: DataFrame, vocabulary: list[bytes], key: str = "doc_id", t
         terms, at = terms[known], at[known]
         order = np.argsort(terms, kind="stable")
         names, counts = np.unique(terms[order], return_counts=True)
-        whole = [keys, starts, sizes, names, counts]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
-        columns = [pa.array([np.asarray(x)], pa.list_(t)) for x, t in zip(whole, kinds, strict=True)]
+        columns = [pa.array([keys], pa.list_(pa.int64()))]
+        columns += [pa.array([x], pa.list_(pa.int32())) for x in (starts, sizes, names, counts)]
         positions = pa.array([at[order].astype(np.int32).tobytes()], pa.binary())
         return pa.RecordBatch.from_arrays([*columns, positions], ["doc_ids", "starts", "lengths", "terms", "counts", "positions"])
 
@@ -103,7 +103,7 @@ class Segment:
     """One segment's postings by term."""
 
     def __init__(self, row: dict):
-        self.doc_ids = np.array(row["doc_ids"], np.int64)
+        self.doc_ids = row["doc_ids"]
         self.starts = np.array(row["starts"], np.int64)
         self.lengths = np.array(row["lengths"], np.int64)
         ends = np.cumsum(row["counts"], dtype=np.int64)
@@ -198,7 +198,7 @@ def find_phrases(index: DataFrame, phrases: dict[tuple[int, ...], list[str]]) ->
                 spans[d].append((a - int(segment.starts[d]), b - 1 - int(segment.starts[d])))
         return [
             (k, n, sorted(names.get(d, ())), [a for a, _ in spans.get(d, ())], [b for _, b in spans.get(d, ())])
-            for d, (k, n) in enumerate(zip(segment.doc_ids.tolist(), segment.lengths.tolist(), strict=True))
+            for d, (k, n) in enumerate(zip(segment.doc_ids, segment.lengths.tolist(), strict=True))
         ]
 
     return _search(index, look, "doc_id long, n_words long, item_ids array<string>, first_words array<long>, last_words array<long>")
@@ -209,7 +209,7 @@ def find_near(index: DataFrame, items: Items, number: dict[bytes, int], within:
     wanted = index.sparkSession.sparkContext.broadcast([(name, [number[w] for w in words]) for name, words in items])
 
     def look(segment: Segment) -> list[tuple]:
-        return [(int(segment.doc_ids[d]), name) for name, terms in wanted.value for d in sorted(segment.near(terms, within))]
+        return [(segment.doc_ids[d], name) for name, terms in wanted.value for d in sorted(segment.near(terms, within))]
 
     return _search(index, look, "doc_id long, item_id string")
 
@@ -268,3 +268,9 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), "contaminated",
     )
+
+
+def not_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: the rows of ``docs`` that are not contaminated, with the columns they came with."""
+    found = with_verdict(contamination(docs, table(spark, sf_dir, "benchmark"))).filter("contaminated")
+    return docs.join(found.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)

@@ -104,14 +104,17 @@ def with_ranks(cut: DataFrame, several: DataFrame, key: str) -> DataFrame:
 
 
 def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", digest_bytes: int = 16) -> DataFrame:
-    """Per row: key, keep_id, group_size, kept, text_sha256. ``key`` must be unique."""
+    """Per row: key, keep_id, group_size, kept, text_sha256.
+
+    Rows with equal keys and texts stay or go together. A null key is smaller than any other.
+    """
     cut = staged(recipes(docs, key, text, digest_bytes), "recipes")
     several = staged(ambiguous(cut), "digests")
     lists = cut.select(key, "text_sha256", "recipe") if several.isEmpty() else with_ranks(cut, several, key)
     # Stored, so that both sides of the join are plain shuffles and Spark can split a recipe that very many rows have.
     groups = staged(lists.groupBy("recipe").agg(F.max(key).alias("keep_id"), F.count("*").alias("group_size")), "recipe-groups")
     return lists.join(groups, "recipe").select(
-        key, "keep_id", "group_size", (F.col(key) == F.col("keep_id")).alias("kept"), "text_sha256"
+        key, "keep_id", "group_size", F.col(key).eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
 
 
@@ -119,6 +122,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: of equal texts the row with the largest doc_id (and rows without doc_id), with the columns it came with."""
+    return docs.join(exact_duplicates(docs).filter("NOT kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+
+
 OP7_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256

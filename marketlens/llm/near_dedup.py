@@ -13,7 +13,8 @@ equal shingle sets are one document in all of this, so copies cost nothing.
 
 Words: A-Z lower-cased, runs of ASCII letters, digits and all characters beyond ASCII. A text of fewer words is one
 shingle; a text without words (null and empty ones too) is compared as a whole, so such texts are in one class if they
-are equal. The key must be a unique integer; a class is named by its smallest key. Extra columns are not read.
+are equal. The key is an integer; a class is named by its smallest key. Rows with equal keys must be equal and count as one
+document; rows without a key are in no class (null). Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -187,6 +188,8 @@ def near_duplicates(
 ) -> DataFrame:
     """Per row: ``key``, class_id (the smallest key of its class)."""
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+    bare = rows.filter("doc IS NULL").select(F.col("doc").alias(key), F.lit(None).cast("long").alias("class_id"))
+    rows = rows.filter("doc IS NOT NULL")
     drawn = staged(sketches(rows, size), "sketches")
     same = ["same_low", "same_high", "n"]
     groups = staged(drawn.groupBy(*same).agg(F.min("doc").alias("rep")), "equal-sets")
@@ -207,17 +210,16 @@ def near_duplicates(
         links = new if links is None else links.unionByName(new)
         classes, seed = staged(components(links), "classes"), seed + 1
     if classes is None:
-        return members.select(F.col("doc").alias(key), F.col("rep").alias("class_id"))
-    roots = classes.withColumnRenamed("doc", "rep")
-    return members.select("doc", "rep").join(roots, "rep", "left").select(F.col("doc").alias(key), F.coalesce("root", "rep").alias("class_id"))
+        return members.select(F.col("doc").alias(key), F.col("rep").alias("class_id")).unionByName(bare)
+    found = members.select("doc", "rep").join(classes.withColumnRenamed("doc", "rep"), "rep", "left")
+    return found.select(F.col("doc").alias(key), F.coalesce("root", "rep").alias("class_id")).unionByName(bare)
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
-    return found.withColumn("kept", F.col("doc_id") == F.col("class_id"))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the first document of every class, with the columns it came with."""
-    kept = near_duplicates(docs).filter("doc_id = class_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    """Pipeline stage: the first document of every class (and rows without doc_id), with the columns it came with."""
+    return docs.join(near_duplicates(docs).filter("doc_id != class_id").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)

@@ -158,7 +158,7 @@ def train(x: np.ndarray, y: np.ndarray) -> Trees:
 
 
 def held_out(key: Column) -> Column:
-    return F.crc32(key.cast("string")) % 4 == 2
+    return F.coalesce(F.crc32(key.cast("string")) % 4 == 2, F.lit(False))
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str) -> tuple[np.ndarray, np.ndarray]:

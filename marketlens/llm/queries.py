@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import decontaminate, exact_dedup, html_text, near_dedup, quality, substrings, tokens, toxicity, url_filter
+from marketlens.llm import decontaminate, exact_dedup, html_text, near_dedup, packing, quality, substrings, tokens, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         near_dedup.op5_near_duplicates,
         toxicity.op6_toxicity,
         exact_dedup.op7_exact_dedup,
+        packing.op8_packing,
         decontaminate.op9_decontaminate,
         substrings.op10_substring_dedup,
     )

@@ -18,15 +18,16 @@ whole window. In every pass
 Digits and stretches are compared by two independent 64-bit hashes. Every task first settles its own rows, so it sends
 at most one row per digit, and a digit that a third of all stretches have is no hot key.
 
-The key must be a unique integer. Null counts as empty; texts shorter than ``depth`` have no windows and lose nothing.
+The key is an integer; rows with equal keys must be equal and count as one document, rows without a key lose nothing
+and are compared with none. Null counts as empty; texts shorter than ``depth`` have no windows and lose nothing.
 Matches never cross documents. Of equal texts the one with the smallest key stays whole. Extra columns are not read. Long texts are processed in overlapping
 parts of ``PART`` bytes.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -117,10 +118,12 @@ def settled(digit: np.ndarray, whole: np.ndarray, doc: np.ndarray, place: np.nda
     digit, whole, doc, place = digit[order], whole[order], doc[order], place[order]
     fresh = np.r_[True, digit[1:] != digit[:-1]][: len(digit)]
     new = fresh | np.r_[True, whole[1:] != whole[:-1]][: len(digit)]
+    again = np.r_[False, (doc[1:] == doc[:-1]) & (place[1:] == place[:-1])][: len(digit)]  # of a repeated row
     several = np.bincount(np.cumsum(fresh) - 1, new) > 1 if len(digit) else np.empty(0, bool)
     kind = np.where(fresh, np.where(several[np.cumsum(fresh) - 1], SURE, SENT), REPEATED)
-    lo, n, _ = unpack(place[~new])
-    gone = merged(doc[~new], lo, lo + n - 1 + depth)
+    later = ~new & ~again
+    lo, n, _ = unpack(place[later])
+    gone = merged(doc[later], lo, lo + n - 1 + depth)
     columns = [
         np.r_[digit[new].view(np.int64), mixed(gone[0].astype(np.uint64)).view(np.int64)],
         np.r_[whole[new].view(np.int64), gone[2]],
@@ -209,9 +212,9 @@ def next_pass(rows: DataFrame, width: int, depth: int) -> DataFrame:
 
 def compared(rows: DataFrame, depth: int) -> DataFrame:
     """What a pass decides: ``kind`` GONE (doc, place up to whole) and REPEATED (doc, place, ...)."""
-    by_digit = Window.partitionBy("digit")
-    same = Window.partitionBy("digit", "whole").orderBy("doc", "place")
     sent = F.col("kind") <= SURE
+    by_digit = Window.partitionBy("digit")
+    same = Window.partitionBy("digit", "whole", sent).orderBy("doc", "place")
     # Other kinds only pass through; a digit of theirs that equals one of the compared rows' is told apart by the kind.
     rows = rows.repartition("digit").withColumn("whole_sent", F.when(sent, F.col("whole")))
     judged = rows.select(
@@ -221,9 +224,8 @@ def compared(rows: DataFrame, depth: int) -> DataFrame:
         F.max(F.col("kind") == SURE).over(by_digit).alias("sure"),
         F.count("*").over(by_digit).alias("members"),
     ).filter(~sent | (F.col("members") > 1) | F.col("sure"))
-    judged = judged.withColumn("place_in_group", F.row_number().over(Window.partitionBy("digit", "whole", sent).orderBy("doc", "place")))
+    judged = judged.withColumn("place_in_group", F.rank().over(same))
     repeat = sent & (F.col("place_in_group") > 1)
-    bits = F.lit(2 * _BITS)
     start = F.shiftright("place", 2 * _BITS)
     end = start + F.shiftright("place", _BITS).bitwiseAND(F.lit((1 << _BITS) - 1)) + depth
     kind = F.when(~sent, F.col("kind")).when(repeat, GONE).when(F.col("sure") | (F.col("low") != F.col("high")), REPEATED)
@@ -245,11 +247,8 @@ def removed_stretches(docs: DataFrame, depth: int = DEPTH, anchor: int = ANCHOR)
         found = staged(compared(next_pass(rows, width, depth), depth), "radix-pass")
         gone.append(found.filter(F.col("kind") == GONE))
         rows = found.filter(F.col("kind") == REPEATED).select("doc", "place", "span")
-    out = None
-    for part in gone:
-        part = part.select("doc", F.col("place").alias("start"), F.col("whole").alias("end"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    spans = [part.select("doc", F.col("place").alias("start"), F.col("whole").alias("end")) for part in gone]
+    return reduce(DataFrame.unionByName, spans)
 
 
 def without_repeats(
@@ -257,7 +256,7 @@ def without_repeats(
 ) -> DataFrame:
     """Per row: ``key``, n_bytes, starts and ends of the maximal removed stretches, kept (the remaining bytes)."""
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    lists = removed_stretches(rows, depth, anchor).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("gone"))
+    lists = removed_stretches(rows.filter("doc IS NOT NULL"), depth, anchor).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("gone"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", PART):
