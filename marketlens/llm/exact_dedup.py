@@ -94,12 +94,13 @@ def with_ranks(cut: DataFrame, several: DataFrame, key: str) -> DataFrame:
     """Recipes in which every identifier is a digest with the rank of its content."""
     named = contents(cut).join(several, "digest").groupBy("digest").agg(F.array_sort(F.collect_list("content")).alias("contents"))
     several = named.select("digest", F.posexplode("contents").alias("rank", "content"))
-    pieces = cut.select(key, "text_sha256", F.posexplode_outer("chunks").alias("pos", "chunk"))
-    pieces = pieces.select(key, "text_sha256", "pos", F.col("chunk.digest").alias("digest"), F.col("chunk.content").alias("content"))
+    rows = cut.withColumn("row", F.monotonically_increasing_id())  # tells repeated rows apart
+    pieces = rows.select("row", key, "text_sha256", F.posexplode_outer("chunks").alias("pos", "chunk"))
+    pieces = pieces.select("row", key, "text_sha256", "pos", F.col("chunk.digest").alias("digest"), F.col("chunk.content").alias("content"))
     ids = pieces.join(several, ["digest", "content"], "left").withColumn(
         "id", F.struct("pos", F.concat(F.hex("digest"), F.lit("."), F.coalesce("rank", F.lit(0)).cast("string")).alias("name"))
     )
-    lists = ids.groupBy(key, "text_sha256").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    lists = ids.groupBy("row", key, "text_sha256").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     return lists.select(key, "text_sha256", F.array_join("ids.name", " ", "").cast("binary").alias("recipe"))
 
 
