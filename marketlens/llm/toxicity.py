@@ -4,10 +4,10 @@ Categories are predicted one after the other by linear models on the presence of
 (which find a stem under any ending). The model of a category also gets the probabilities of the earlier categories;
 in training these are out-of-fold predictions, so that later models see them as good or as bad as they are in use.
 
-Features are hashed into ``2 ** BITS`` buckets. How often each is in documents of each label is counted over all
-labelled documents by Spark, and the ``FEATURES`` buckets that tell most (likelihood ratio) are kept: both are bounds
-that do not grow with the data. The chain is fitted on at most ``SAMPLE`` labelled documents, those with the smallest
-hash of their key (a documented bound). Scoring covers every document and its whole text.
+The chain is fitted on at most ``SAMPLE`` labelled documents, those with the smallest hash of their key (a documented
+bound). Features are hashed into ``2 ** BITS`` buckets; Spark counts in how many of these documents of each label each
+is, and the ``FEATURES`` buckets that tell most (likelihood ratio) are kept. Scoring covers every document and its
+whole text.
 
 Null and empty texts have no features and get the chain's base rates. Labels that are null or without a document are
 not used. Without labels of both kinds, the probability of a category is the share of its positives. Repeated rows get
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlens.llm.common import WORD_BYTE, SpanHash, mixed, slices, table, text_bytes, word_spans
+from marketlens.llm.common import WORD_BYTE, SpanHash, mixed, slices, staged, table, text_bytes, word_spans
 
 BITS, FEATURES, SAMPLE, FOLDS, PIECE = 18, 2_000, 20_000, 4, 5
 LEAST_DOCUMENTS = 5
@@ -153,7 +153,10 @@ def telling_buckets(labelled: DataFrame, text: str = "text", label: str = "label
 
 
 def train(labelled: DataFrame, categories: list[str], key: str = "doc_id", text: str = "text") -> Chain:
-    """``labelled``: key, text, and one 0/1 column per category in the chain's order; the last chooses the features."""
+    """``labelled``: key, text, and one 0/1 column per category in the chain's order; the last chooses the features.
+
+    Its rows are read twice and the values of their kept features come to the driver, so their number must be bounded.
+    """
     rows = labelled.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(categories[-1]).alias("label"), F.array(*categories).alias("y"))
     keep = telling_buckets(rows)
     mask = np.zeros(1 << BITS, bool)
@@ -167,10 +170,8 @@ def train(labelled: DataFrame, categories: list[str], key: str = "doc_id", text:
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("y"), lists], ["key", "y", "x"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    order = [F.xxhash64("key"), F.col("key")]
-    last = rows.select("key").orderBy(*order).limit(SAMPLE).agg(F.max(F.struct(order[0].alias("h"), "key")).alias("last")).first()["last"]
-    chosen = rows if last is None else rows.filter((order[0] < last["h"]) | (order[0] == last["h"]) & (F.col("key") <= last["key"]))
-    found = chosen.select("key", "text", "y").mapInArrow(run, f"key {kind}, y array<int>, x array<int>").orderBy(*order, "y").toArrow()
+    found = rows.select("key", "text", "y").mapInArrow(run, f"key {kind}, y array<int>, x array<int>")
+    found = found.orderBy(F.xxhash64("key"), "key", "y").toArrow()
     x = found["x"].combine_chunks()
     sizes = np.array([len(v) for v in found["x"].to_pylist()], np.int64)
     owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -206,13 +207,14 @@ CATEGORIES = ["insult", "contempt", "toxic"]
 
 def train_on_tables(docs: DataFrame, labels: DataFrame) -> Chain:
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    rows = docs.select("doc_id", "text").join(known, "doc_id").withColumns(
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(SAMPLE)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumns(  # at most SAMPLE small rows
         {
             "insult": F.when(has_word(F.coalesce("text", F.lit("")), INSULTS), F.col("toxic")).otherwise(0),
             "contempt": F.when(has_word(F.coalesce("text", F.lit("")), CONTEMPT), F.col("toxic")).otherwise(0),
         }
     )
-    return train(rows, CATEGORIES)
+    return train(staged(rows, "labelled"), CATEGORIES)
 
 
 def judged(docs: DataFrame, chain: Chain) -> DataFrame:
