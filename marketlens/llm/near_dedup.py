@@ -5,9 +5,9 @@ arrivals whose rate is the shingle's weight (1 + ln of its count). Each arrival
 registers, which remembers the shingle that came first; a process ends when it is later than all registers. Two
 documents agree in a register with the probability that is the probability Jaccard similarity of their weighted sets.
 
-The registers form ``BANDS`` bands. Documents that agree in a whole band share a bucket; at a similarity of 0.8 two
-documents share none with a probability of 5e-8. Documents are not paired within buckets: each is compared with its
-bucket's pivots, exactly, by the Jaccard similarity of both shingle sets. Linked documents form classes. Rounds with
+The registers form ``BANDS`` bands. Documents that agree in a whole band share a bucket (in two bands, a finer one); at a similarity of 0.8 two
+documents share none with a probability of 5e-8. Documents are not paired within buckets: each is compared with a pivot
+of its buckets, exactly, by the Jaccard similarity of both shingle sets. Linked documents form classes. Rounds with
 other pivots follow for the buckets in which several classes meet, until a round links none of them. Documents with
 equal shingle sets are one document in all of this, so copies cost nothing.
 
@@ -141,32 +141,33 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """doc, root: the smallest document that it is connected with. Links a, b; documents without links are left out.
 
-    Alternates two steps until nothing changes: every document hands the smallest of its neighbours and itself to its
-    larger neighbours, then to its smaller ones. Each is a minimum per document, joined back to the links.
+    Alternates two steps until every document is linked with its root only: every document hands the smallest of its
+    neighbours and itself to its larger neighbours, then to its smaller ones. Each is a minimum per document, joined
+    back to the links.
     """
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct()
-    edges, before = staged(edges, "links"), None
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
         large = staged(large, "links")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        edges = staged(small.select("e.u", "e.v").filter("u != v").distinct(), "links")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38, 0)"))).first()
-        if state == before:
-            return edges.select(F.col("u").alias("doc"), F.col("v").alias("root")).unionByName(
-                edges.select(F.col("v").alias("doc"), F.col("v").alias("root")).distinct()
-            )
-        before = state
+        down = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+        small = large.join(least, "u").select(F.explode(down).alias("e")).select("e.u", "e.v").filter("u != v").distinct()
+        edges = staged(small, "links")
+        ends = edges.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            edges.select(F.col("v").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+        )
+        if ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up + down > 1 AND up > 0").isEmpty():
+            roots = edges.select(F.col("v").alias("doc"), F.col("v").alias("root")).distinct()
+            return edges.select(F.col("u").alias("doc"), F.col("v").alias("root")).unionByName(roots)
 
 
 def candidate_pairs(shared: DataFrame, classes: DataFrame | None, seed: int, similarity: float) -> DataFrame:
     """Pairs a < b of a document and a pivot of one of its buckets, where sizes allow the similarity.
 
-    A bucket's pivots are its first and last documents in an order that depends on the round. With ``classes``, only
-    pairs across classes.
+    A bucket's pivots are its first and last documents in an order that depends on the round. Before there are classes,
+    a document is compared only with the pivot that it meets in most buckets; afterwards with all pivots of other classes.
     """
     if classes is None:
         rows = shared.withColumn("root", F.col("doc"))
@@ -180,7 +181,11 @@ def candidate_pairs(shared: DataFrame, classes: DataFrame | None, seed: int, sim
     met = rows.join(pivots.filter("mixed").drop("mixed"), "band")
     met = met.select("doc", "n", "root", F.explode(F.array("first", "last")).alias("pivot"))
     fits = (F.least("n", "pivot.n") >= similarity * F.greatest("n", "pivot.n")) & (F.col("root") != F.col("pivot.root"))
-    return met.filter(fits).select(F.least("doc", "pivot.doc").alias("a"), F.greatest("doc", "pivot.doc").alias("b")).distinct()
+    pairs = met.filter(fits).select("doc", F.col("pivot.doc").alias("other"))
+    if classes is None:
+        often = pairs.groupBy("doc", "other").agg(F.count("*").alias("buckets"))
+        pairs = often.groupBy("doc").agg(F.max_by("other", F.struct("buckets", "other")).alias("other"))
+    return pairs.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -197,20 +202,26 @@ def near_duplicates(
     members = drawn.join(groups, same).select("doc", "rep", "n", F.when(F.col("doc") == F.col("rep"), F.col("bands")).alias("bands"))
     members = staged(members, "members")
 
-    buckets = members.filter("doc = rep").select("doc", "n", F.explode("bands").alias("band"))
+    # A bucket is a band's value; a finer one, whose pivots are more alike, the values of two neighbouring bands.
+    after = F.concat(F.slice("bands", 2, BANDS - 1), F.slice("bands", 1, 1))
+    two = F.zip_with("bands", after, lambda x, y: F.struct(x.alias("band"), F.xxhash64(x, y).alias("finer")))
+    buckets = members.filter("doc = rep").select("doc", "n", F.explode(two).alias("b")).select("doc", "n", "b.*")
     several = buckets.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1").select("band")
-    shared = staged(buckets.join(several, "band"), "buckets")
-    sets = staged(shingle_sets(rows.join(shared.select("doc").distinct(), "doc"), size), "shingle-sets")
+    met = staged(buckets.join(several, "band"), "buckets")
+    shared = met.select("doc", "n", F.explode(F.array("band", "finer")).alias("band"))
+    sets = staged(shingle_sets(rows.join(met.select("doc").distinct(), "doc"), size), "shingle-sets")
 
-    links, classes, seed = None, None, 0
+    classes, seed = None, 0
     while True:
         new = staged(verified(candidate_pairs(shared, classes, seed, similarity), sets, similarity), "links")
-        if new.isEmpty():
+        if not new.isEmpty():
+            known = new if classes is None else new.unionByName(classes.select(F.col("doc").alias("a"), F.col("root").alias("b")))
+            classes = staged(components(known), "classes")
+        elif seed:
             break
-        links = new if links is None else links.unionByName(new)
-        classes, seed = staged(components(links), "classes"), seed + 1
-    if classes is None:
-        return members.select(F.col("doc").alias(key), F.col("rep").alias("class_id")).unionByName(bare)
+        else:
+            classes = shared.select("doc", F.col("doc").alias("root")).limit(0)
+        seed += 1
     found = members.select("doc", "rep").join(classes.withColumnRenamed("doc", "rep"), "rep", "left")
     return found.select(F.col("doc").alias(key), F.coalesce("root", "rep").alias("class_id")).unionByName(bare)
 
