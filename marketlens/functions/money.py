@@ -15,7 +15,8 @@ def nan_to_null(col: Column) -> Column:
 
 
 def cents(name: str) -> Column:
-    return F.rint(nan_to_null(F.col(name).cast("double")) * 100).cast("bigint")
+    """Whole cents; NULL for amounts that are no number or beyond all whole numbers."""
+    return F.rint(nan_to_null(F.col(name).cast("double")) * 100).try_cast("bigint")
 
 
 def from_cents(col: Column) -> Column:

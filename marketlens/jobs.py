@@ -63,7 +63,7 @@ def store_silver(raw: dict[str, DataFrame], store: str, **order_options) -> None
     customers = read_stored(spark, store, "dim_customers")
     save_stored(clean.transform_orders(raw["orders"], customers, **order_options), store, "fact_orders")
     save_stored(clean.transform_items(raw["order_items"]), store, "fact_order_items")
-    save_stored(raw["products"], store, "dim_products")
+    save_stored(clean.deduplicate_products(raw["products"]), store, "dim_products")
     sellers = clean.deduplicate_sellers(raw.get("sellers"))
     if sellers is not None:
         save_stored(sellers, store, "dim_sellers")

@@ -81,6 +81,11 @@ def deduplicate_customers(customers: DataFrame) -> DataFrame:
     return keep_first(customers, ["customer_unique_id"])
 
 
+def deduplicate_products(products: DataFrame) -> DataFrame:
+    """One row per product, which joins with products rely on."""
+    return keep_first(products, ["product_id"])
+
+
 def deduplicate_sellers(sellers: DataFrame | None) -> DataFrame | None:
     """Sellers are an optional source: None passes through."""
     return None if sellers is None else keep_first(sellers, ["seller_id"])

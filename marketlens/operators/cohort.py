@@ -1,12 +1,12 @@
 """Cohorts and retention.
 
-A customer's cohort is the month of the first order. Per customer only the set of active months is
-kept, which the calendar bounds, however many orders the customer has.
+A customer's cohort is the month of the first order. Per customer only the active months are kept, one row each, which
+the calendar bounds, however many orders the customer has.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions.dates import month_number, month_start
@@ -26,16 +26,18 @@ def purchases(orders: DataFrame) -> DataFrame:
 
 
 def _active_months(rows: DataFrame, key: str) -> DataFrame:
-    """Per key: cohort month and the set of active months. Rows have a ``month`` column."""
-    return rows.groupBy(key).agg(
-        F.min("month").alias("cohort_month"), F.collect_set("month").alias("months")
-    )
+    """The distinct months of each key with the key's first month. Rows have a ``month`` column.
+
+    Repeated orders of a month are merged before the shuffle, and a key has no more rows than the calendar has months.
+    """
+    months = rows.groupBy(key, "month").agg(F.count(F.lit(1)).alias("n_rows")).drop("n_rows")
+    return months.withColumn("cohort_month", F.min("month").over(Window.partitionBy(key)))
 
 
 def _counts(active: DataFrame) -> DataFrame:
-    per_month = active.select("cohort_month", F.explode("months").alias("order_month"))
     return (
-        per_month.groupBy("cohort_month", "order_month")
+        active.filter(F.col("month").isNotNull())
+        .groupBy("cohort_month", F.col("month").alias("order_month"))
         .agg(F.count(F.lit(1)).alias("n_customers"))
         .withColumn(
             "months_diff",
@@ -103,9 +105,17 @@ def retention_rates(counts: DataFrame) -> DataFrame:
     )
 
 
-def retention_matrix(counts: DataFrame, last_month: int) -> DataFrame:
-    """Heat-map data: one row per cohort, ``m0`` .. ``m<last_month>`` in percent, 0 where nobody came."""
-    months = list(range(last_month + 1))
+def retention_matrix(counts: DataFrame, last_month: int | None = None) -> DataFrame:
+    """Heat-map data: one row per cohort, ``m0`` .. ``m<last_month>`` in percent, 0 where nobody came.
+
+    The width comes from the data (one number is looked up); a smaller ``last_month`` is an error, as it would drop
+    months.
+    """
+    last = counts.agg(F.max("months_diff")).first()[0]
+    last = 0 if last is None else last
+    if last_month is not None and last_month < last:
+        raise ValueError(f"there are customers {last} months after their first; last_month is {last_month}")
+    months = list(range((last if last_month is None else last_month) + 1))
     wide = counts.groupBy("cohort_month").pivot("months_diff", months).agg(F.sum("n_customers"))
     return wide.select(
         "cohort_month",
@@ -149,13 +159,13 @@ def repeat_customers(orders: DataFrame, k: int | None = 10) -> DataFrame:
 def retention_m0_m1(orders: DataFrame) -> DataFrame:
     """Share of each cohort active in the month after the first; orders of every status count."""
     rows = orders.select("customer_id", month_start(F.col("order_purchase_timestamp")).alias("month"))
-    came_back = F.array_contains("months", F.add_months("cohort_month", 1))
+    known = F.col("customer_id").isNotNull()
     return (
         _active_months(rows, "customer_id")
         .groupBy("cohort_month")
         .agg(
-            F.count("customer_id").alias("cohort_size"),
-            F.count_if(came_back & F.col("customer_id").isNotNull()).alias("retained_m1"),
+            F.count_if(known & F.col("month").eqNullSafe(F.col("cohort_month"))).alias("cohort_size"),
+            F.count_if(known & (F.col("month") == F.add_months("cohort_month", 1))).alias("retained_m1"),
         )
         .withColumn(
             "retention_rate_m1",

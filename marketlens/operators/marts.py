@@ -1,15 +1,15 @@
 """Gold marts.
 
-``orders`` must be unique on order_id, as the cleaning step leaves it. Then distinct orders become a
-row count once items are rolled up per order, every mart has at most one true distinct count left, and
+``orders`` must be unique on order_id and ``products`` on product_id, as the cleaning step leaves them. Then distinct
+orders become a row count once items are rolled up per order, every mart has at most one true distinct count left, and
 no plan needs the row-multiplying Expand of several COUNT(DISTINCT ..).
 
 Where a customer attribute is needed, order figures are first added up per customer, so that a customer with
 very many orders meets the customer table as a handful of rows.
 
-Items cross the network once, by order_id; the roll-up per order then needs no further shuffle. Item
-joins by product and by order are joins of plain shuffles, so that Spark splits a hot product or order at run
-time (AQE skew join).
+Items cross the network by order_id, and once more by product_id where the products are too many to broadcast; the
+roll-up per order needs no further shuffle. Item joins by product and by order are joins of plain shuffles, so that
+Spark splits a hot product or order at run time (AQE skew join).
 """
 
 from __future__ import annotations
@@ -54,7 +54,7 @@ def item_sums() -> list[Column]:
 
 def order_totals(items: DataFrame) -> DataFrame:
     """Item figures per order; combined map-side, so an order with very many items stays cheap."""
-    return measured_items(items).groupBy("order_id").agg(*item_sums())
+    return measured_items(items).groupBy("order_id").agg(*item_sums(), F.count(F.lit(1)).alias("n_rows"))
 
 
 def categorised_items(items: DataFrame, products: DataFrame) -> DataFrame:
@@ -250,7 +250,7 @@ def sales_lines(
 
     Joining items and orders is the one large shuffle behind every mart. Staged once, this table serves them
     all without repeating it. ``new_order`` is 1 on one line of each order and ``new_in_category`` on one line of
-    each order and category, so distinct orders become plain sums. Both rest on the partitioning by order that the
+    each order and category (lines of unknown products apart), so distinct orders become plain sums. Both rest on the partitioning by order that the
     join leaves, and on one sort.
     """
     per_order = orders.select(
@@ -269,8 +269,8 @@ def sales_lines(
         .groupBy(*keys)
         .agg(*item_sums(), F.count(F.lit(1)).alias("n_rows"))
     )
-    in_category = Window.partitionBy("order_id", "product_category_name").orderBy("product_id")
-    in_order = Window.partitionBy("order_id").orderBy("product_category_name", "product_id")
+    in_category = Window.partitionBy("order_id", "known_product", "product_category_name").orderBy("product_id")
+    in_order = Window.partitionBy("order_id").orderBy("known_product", "product_category_name", "product_id")
     return lines.withColumns(
         {
             "new_in_category": (F.row_number().over(in_category) == 1).cast("int"),

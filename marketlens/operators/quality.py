@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions.money import nan_to_null
@@ -106,38 +108,44 @@ def quality_summary(
     products: DataFrame,
     examples: int = 5,
 ) -> DataFrame:
-    """One row per check: check_name, passed, n_bad, sample (first few offenders as text)."""
-    bad_items = {
-        name: items.filter(bad).select(F.concat_ws("/", "order_id", "order_item_id").alias("example"))
-        for name, bad in _range_rules(items).items()
-    }
+    """One row per check: check_name, passed, n_bad, sample (first few offenders as text).
 
-    def shown(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.coalesce(F.col(name).cast("string"), F.lit("null")).alias("example"))
-
-    checks = {
-        "pk_order_id": shown(repeated_keys(orders, ["order_id"]), "order_id"),
-        "fk_customer": shown(orders_without_customer(orders, customers, None), "order_id"),
-        "fk_item_order": shown(missing_reference_counts(items, orders, "order_id"), "order_id"),
-        "fk_item_product": shown(missing_reference_counts(items, products, "product_id"), "product_id"),
-        "allowed_status": shown(unexpected_statuses(orders), "order_status"),
-        "delivered_before_purchase": shown(delivered_before_purchase(orders), "order_id"),
-        **{f"range_{name}": bad for name, bad in bad_items.items()},
+    All offenders are one frame, of which one aggregation counts and one, limited per check before the shuffle, shows
+    the first.
+    """
+
+    def shown(df: DataFrame, name: str | Column, *columns: str) -> DataFrame:
+        parts = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns]
+        return df.select(F.lit(name).alias("check_name"), F.concat_ws("/", *parts).alias("example"))
+
+    ranges = {f"range_{name}": bad for name, bad in _range_rules(items).items()}
+    flags = F.array(*[F.when(bad, F.lit(name)) for name, bad in ranges.items()])
+    bad_items = items.select("order_id", "order_item_id", F.explode(F.array_compact(flags)).alias("rule")) if ranges else None
+    keys = {"order_id": orders, "customer_id": customers, "product_id": products}
+    found = {
+        **{f"pk_{key}": shown(repeated_keys(df, [key]), f"pk_{key}", key) for key, df in keys.items()},
+        "pk_order_item": shown(repeated_keys(items, ["order_id", "order_item_id"]), "pk_order_item", "order_id", "order_item_id"),
+        "fk_customer": shown(orders_without_customer(orders, customers, None), "fk_customer", "order_id"),
+        "fk_item_order": shown(missing_reference_counts(items, orders, "order_id"), "fk_item_order", "order_id"),
+        "fk_item_product": shown(missing_reference_counts(items, products, "product_id"), "fk_item_product", "product_id"),
+        "allowed_status": shown(unexpected_statuses(orders), "allowed_status", "order_status"),
+        "delivered_before_purchase": shown(delivered_before_purchase(orders), "delivered_before_purchase", "order_id"),
     }
-    rows = []
-    for name, bad in checks.items():
-        first = bad.orderBy("example").limit(examples).agg(
-            F.array_join(F.array_sort(F.collect_list("example")), ", ")
-        )
-        rows.append(
-            bad.agg(F.count(F.lit(1)).alias("n_bad")).select(
-                F.lit(name).alias("check_name"),
-                (F.col("n_bad") == 0).alias("passed"),
-                "n_bad",
-                first.scalar().alias("sample"),
-            )
-        )
-    summary = rows[0]
-    for row in rows[1:]:
-        summary = summary.unionByName(row)
-    return summary
+    offenders = reduce(DataFrame.unionByName, found.values())
+    if bad_items is not None:
+        offenders = offenders.unionByName(shown(bad_items, F.col("rule"), "order_id", "order_item_id"))
+    rank = F.row_number().over(Window.partitionBy("check_name").orderBy("example"))
+    counts = offenders.groupBy("check_name").agg(F.count(F.lit(1)).alias("n_bad"))
+    firsts = (
+        offenders.withColumn("rank", rank)
+        .filter(F.col("rank") <= examples)
+        .groupBy("check_name")
+        .agg(F.array_join(F.array_sort(F.collect_list("example")), ", ").alias("sample"))
+    )
+    names = orders.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, [*found, *ranges]))).alias("check_name"))
+    n_bad = F.coalesce("n_bad", F.lit(0))
+    return (
+        names.join(counts, "check_name", "left")
+        .join(firsts, "check_name", "left")
+        .select("check_name", (n_bad == 0).alias("passed"), n_bad.alias("n_bad"), F.coalesce("sample", F.lit("")).alias("sample"))
+    )

@@ -16,7 +16,7 @@ HIGH_ABOVE = 300
 
 def rfm_scores(orders: DataFrame, items: DataFrame, snapshot: str = SNAPSHOT) -> DataFrame:
     """Per customer, over the item rows of the orders: days since the last purchase, rows, price sum."""
-    totals = order_totals(items).select("order_id", "items", "price_sum")
+    totals = order_totals(items).select("order_id", "n_rows", "price_sum")
     bought = orders.select("order_id", "customer_id", "order_purchase_timestamp")
     return rfm_scores_of_lines(totals.join(bought, "order_id"), snapshot)
 
@@ -29,7 +29,7 @@ def rfm_scores_of_lines(lines: DataFrame, snapshot: str = SNAPSHOT) -> DataFrame
         .groupBy("customer_id")
         .agg(
             floor_days(last, F.lit(snapshot).cast("timestamp_ntz")).alias("Recency"),
-            F.sum("items").alias("Frequency"),
+            F.sum("n_rows").alias("Frequency"),
             F.coalesce(from_cents(F.sum("price_sum")), F.lit(0.0)).alias("Monetary"),
         )
     )

@@ -16,7 +16,6 @@ from marketlens.sources import adapter, readers, schemas, writers
 
 # The orders of the test tables span 1995-01 to 2001-08.
 RFM_SNAPSHOT = "2002-01-01"
-LAST_MONTH = 79
 
 TOP_CATEGORIES_SQL = """
 SELECT p.product_category_name,
@@ -42,9 +41,13 @@ class Tables:
         return adapter.customers_raw(self.spark, self.sf_dir)
 
     @cached_property
-    def products(self) -> DataFrame:
+    def products_raw(self) -> DataFrame:
         return adapter.products_raw(self.spark, self.sf_dir)
 
+    @cached_property
+    def products(self) -> DataFrame:
+        return clean.deduplicate_products(self.products_raw)
+
     @cached_property
     def items_raw(self) -> DataFrame:
         return adapter.items_raw(self.spark, self.sf_dir)
@@ -94,11 +97,22 @@ class Tables:
     def delivery_analysis(self) -> DataFrame:
         return marts.delivery_analysis(self.orders, self.customers, self.items, self.products)
 
+    @cached_property
+    def lines(self) -> DataFrame:
+        """The sales lines, which the mart job stores and from which the jobs' reports start."""
+        return marts.sales_lines(self.orders, self.items, self.products)
+
     @cached_property
     def staged_marts(self) -> dict[str, DataFrame]:
-        """The marts by way of the sales lines, which the mart job stores in between."""
-        lines = marts.sales_lines(self.orders, self.items, self.products)
-        return marts.marts_of_lines(lines, self.customers, self.products)
+        return marts.marts_of_lines(self.lines, self.customers, self.products)
+
+    @cached_property
+    def store(self) -> str:
+        """The folder of the tables that the ETL and mart jobs store, filled when first asked for."""
+        base = work_dir(self.spark, "stored")
+        jobs.store_silver(self.raw, base)
+        jobs.store_marts(self.spark, base)
+        return base
 
     @cached_property
     def cohort_counts(self) -> DataFrame:
@@ -135,7 +149,7 @@ class Tables:
         return {
             "orders": self.orders_raw,
             "customers": self.customers_raw,
-            "products": self.products,
+            "products": self.products_raw,
             "order_items": self.items_raw,
             "sellers": self.sellers_raw,
         }
@@ -178,10 +192,11 @@ def _report_file(t: Tables) -> DataFrame:
 
 
 def _stored_tables(t: Tables) -> DataFrame:
-    base = work_dir(t.spark, "stored")
-    jobs.store_silver(t.raw, base)
-    jobs.store_marts(t.spark, base)
-    return jobs.stored_audit(t.spark, base)
+    return jobs.stored_audit(t.spark, t.store)
+
+
+def _stored(name: str) -> Callable[[Tables], DataFrame]:
+    return lambda t: readers.read_stored(t.spark, t.store, name).drop("order_month")
 
 
 BY_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
@@ -217,7 +232,7 @@ BY_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     "dq_statuses": lambda t: quality.statuses(t.orders),
     "dq_unexpected_status": lambda t: quality.unexpected_statuses(t.orders_raw),
     "dq_summary": lambda t: quality.quality_summary(
-        t.orders_unfiltered, t.customers, t.items_raw, t.products
+        t.orders_unfiltered, t.customers, t.items_raw, t.products_raw
     ),
     "dq_ranges": lambda t: quality.range_report(t.items_raw, t.products),
     "dq_fk_items": lambda t: quality.item_reference_report(_items_with_orphans(t), t.orders, t.products),
@@ -236,6 +251,9 @@ BY_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     "mart_delivery_analysis_staged": lambda t: t.staged_marts["mart_delivery_analysis"],
     # KPIs
     "kpi_gmv_totals": lambda t: kpi.gmv_totals(t.orders, t.items),
+    "kpi_overall_staged": lambda t: kpi.overall_of_lines(t.lines, t.customers),
+    "kpi_item_aov_staged": lambda t: kpi.item_kpis_of_lines(t.lines),
+    "kpi_top_n_categories_staged": lambda t: kpi.top_categories_of_lines(t.lines, 10),
     "kpi_overall": lambda t: kpi.overall(t.orders, t.items, t.customers),
     "kpi_item_aov": lambda t: kpi.item_kpis(t.orders, t.items),
     "kpi_aov_order_total": lambda t: kpi.order_total_summary(t.orders, t.items),
@@ -258,7 +276,7 @@ BY_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     "cohort_sizes_retention": lambda t: t.cohort_retention,
     "cohort_display": lambda t: cohort.retention_display(t.cohort_retention),
     "cohort_matrix_long": lambda t: cohort.retention_rates(t.cohort_counts),
-    "cohort_matrix_pivot": lambda t: cohort.retention_matrix(t.cohort_counts, LAST_MONTH),
+    "cohort_matrix_pivot": lambda t: cohort.retention_matrix(t.cohort_counts),
     "cohort_avg_retention": lambda t: cohort.average_retention(t.cohort_retention),
     "cohort_by_unique_customer": lambda t: cohort.cohort_retention(
         cohort.cohort_counts_by_person(t.orders_unfiltered, t.customers_raw)
@@ -267,6 +285,7 @@ BY_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     "retention_m0_m1": lambda t: cohort.retention_m0_m1(t.orders),
     # RFM
     "rfm_scores": lambda t: rfm.rfm_scores(t.orders, t.items, RFM_SNAPSHOT),
+    "rfm_scores_staged": lambda t: rfm.rfm_scores_of_lines(t.lines, RFM_SNAPSHOT),
     "rfm_segments": lambda t: t.rfm_segments,
     "rfm_segment_counts": lambda t: rfm.segment_counts(t.rfm_segments),
     # delivery service level
@@ -278,6 +297,8 @@ BY_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     "sla_top_categories": lambda t: sla.top_by_orders(t.sla_category, "product_category_name", 20),
     "sla_median_city": lambda t: sla.median_by_city(t.orders, t.customers),
     "sla_median_category": lambda t: sla.median_by_category(t.orders, t.items, t.products),
+    "sla_category_staged": lambda t: sla.sla_category_of_lines(t.lines),
+    "sla_median_category_staged": lambda t: sla.median_by_category_of_lines(t.lines),
     "late_vs_promised_orders": lambda t: sla.late_versus_promised_orders(t.orders),
     # sinks, written to the shared work folder and read back
     "cohort_csv_published": _cohort_file,
@@ -285,6 +306,7 @@ BY_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     "kpi_json_published": _kpi_file,
     "dedup_report_published": _report_file,
     "stored_table_counts": _stored_tables,
+    **{f"stored_{name}": _stored(name) for name in [*jobs.SILVER, *jobs.MARTS]},
 }
 
 

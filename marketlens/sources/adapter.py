@@ -3,7 +3,8 @@
 The test tables are clean: no NULLs, no orphans, no repeated orders or sellers. So the adapter keeps every
 row and writes dirt into some of them by fixed arithmetic on the keys: shared customer identities,
 padded and upper-case cities, missing categories, prices, statuses and delivery dates, unreadable
-timestamps, and second copies of some orders and of all sellers.
+timestamps, items without number or of unknown products, and second copies of some orders and products and of all
+sellers.
 """
 
 from __future__ import annotations
@@ -52,18 +53,28 @@ def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
-    return _table(spark, sf_dir, "part").select(
-        key.alias("product_id"),
-        F.when(key % 50 == 49, None).otherwise(F.col("p_type")).alias("product_category_name"),
-        F.length("p_name").alias("product_name_length"),
+    category = F.when(key % 50 == 49, None).otherwise(F.col("p_type"))
+    copies = F.when(key % 40 == 7, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return (
+        _table(spark, sf_dir, "part")
+        .withColumn("copy", F.explode(copies))
+        .select(
+            key.alias("product_id"),
+            F.when(F.col("copy") == 0, category)
+            .otherwise(F.concat(category, F.lit(" (second entry)")))
+            .alias("product_category_name"),
+            (F.length("p_name") + 100 * F.col("copy")).alias("product_name_length"),
+        )
     )
 
 
 def items_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        F.col("l_partkey").alias("product_id"),
+        F.when(~((F.col("l_orderkey") % 37 == 5) & (F.col("l_linenumber") == 2)), F.col("l_linenumber")).alias(
+            "order_item_id"
+        ),
+        F.when(F.col("l_partkey") % 211 == 9, -F.col("l_partkey")).otherwise(F.col("l_partkey")).alias("product_id"),
         F.when(F.col("l_partkey") % 97 == 5, None)
         .otherwise(F.col("l_extendedprice") - 1000)
         .alias("price"),
