@@ -13,12 +13,13 @@ alone. Equal texts are neighbours like any others. Keys are integers; equal keys
 pieces. Extra columns are not read. An empty table gives an empty result.
 
 Texts are encoded in parts between white space (the tokenizer drops white space and joins nothing across it), each
-distinct part once per batch, so no text is too long.
+distinct part once per batch, so no text is too long. The tokenizer must be of that kind, with a sign at words' ends.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -40,6 +41,13 @@ COMMON_IDS = 2_000
 # Distinct parts whose ids a worker remembers; past that it starts anew. Only speed depends on it.
 REMEMBERED = 1_000_000
 
+# Words of Latin letters that no normalisation turns into anything else than a letter, with at most one mark. The
+# tokenizer cuts between letters and marks, and its last token of either carries the sign of a word's end.
+PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-įıĲ-ſ]+[.,;:!?]?")
+MARKS = b".,;:!?"
+# So many plain words are encoded as one text.
+TOGETHER = 64
+
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 NAMES = [c.split()[0] for c in PIECE.split(", ")]
 
@@ -55,17 +63,39 @@ class Encoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("token ids need 16 bits")
+        self.ends = np.zeros(1 << 16, bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
 
     def learn(self, parts: set[bytes]) -> None:
         new = [p for p in parts if p not in self]
         if len(self) + len(new) > REMEMBERED:
             self.clear()
             new = list(parts)
-        for start in range(0, len(new), 4096):
-            some = new[start : start + 4096]
+        texts = [p.decode() for p in new]
+        plain = [i for i, t in enumerate(texts) if PLAIN.fullmatch(t)]
+        for start in range(0, len(plain), TOGETHER * 64):
+            some = plain[start : start + TOGETHER * 64]
+            lines = [some[k : k + TOGETHER] for k in range(0, len(some), TOGETHER)]
+            found = self.tokenizer.encode_batch_fast([" ".join(texts[i] for i in line) for line in lines], add_special_tokens=False)
+            for line, e in zip(lines, found, strict=True):
+                self._cut(e.ids, [new[i] for i in line])
+        rest = [p for p in new if p not in self]
+        for start in range(0, len(rest), 4096):
+            some = rest[start : start + 4096]
             found = self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)
             self.update(zip(some, (np.array(e.ids, "<u2").tobytes() for e in found), strict=True))
 
+    def _cut(self, ids: list[int], words: list[bytes]) -> None:
+        """Learns words that were encoded together: each letters with at most one mark, and so one or two word ends."""
+        found = np.array(ids, "<u2")
+        ends = np.flatnonzero(self.ends[found]) + 1
+        last = np.cumsum([1 if w[-1] not in MARKS else 2 for w in words]) - 1
+        if len(ends) != last[-1] + 1:  # not as expected: these are encoded one by one
+            return
+        bounds, raw = (2 * ends[last]).tolist(), found.tobytes()
+        for w, a, b in zip(words, [0, *bounds], bounds, strict=False):
+            self[w] = raw[a:b]
+
     def __call__(self, raw: bytes, bounds: list[int]) -> Iterator[np.ndarray]:
         self.learn(set(raw.split()) if len(bounds) == 2 else {p for a, b in zip(bounds, bounds[1:]) for p in raw[a:b].split()})  # noqa: B905
         end = np.array([END], "<u2").tobytes()
