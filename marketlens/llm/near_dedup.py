@@ -1,15 +1,16 @@
 """Near-duplicate classes by ProbMinHash, banding and verification.
 
 A document is the set of its runs of ``SHINGLE`` words. ProbMinHash draws for every shingle a Poisson process of
-arrivals whose rate is the shingle's weight (1 + ln of its count). Each arrival falls into a random one of ``REGISTERS``
-registers, which remembers the shingle that came first; a process ends when it is later than all registers. Two
-documents agree in a register with the probability that is the probability Jaccard similarity of their weighted sets.
+arrivals whose rate is the shingle's weight (1 + ln of its count). Each arrival falls into a random one of ``REGISTERS`` registers, which
+remembers the shingle that came first; a process ends when it is later than all registers. Two documents agree in a
+register with the probability that is the probability Jaccard similarity of their weighted sets.
 
 The registers form ``BANDS`` bands. Documents that agree in a whole band share a bucket (in two bands, a finer one); at a similarity of 0.8 two
 documents share none with a probability of 5e-8. Documents are not paired within buckets: each is compared with a pivot
 of its buckets, exactly, by the Jaccard similarity of both shingle sets. Linked documents form classes. Rounds with
-other pivots follow for the buckets in which several classes meet, until a round links none of them. Documents with
-equal shingle sets are one document in all of this, so copies cost nothing.
+other pivots follow for the buckets in which several classes meet, until a round links none of them. What such buckets
+still hold is finished exactly (``remaining_pairs``): all pairs of their documents that can be similar enough and are of
+different classes are verified. Documents with equal shingle sets are one document in all of this, so copies cost nothing.
 
 Words: A-Z lower-cased, runs of ASCII letters, digits and all characters beyond ASCII. A text of fewer words is one
 shingle; a text without words (null and empty ones too) is compared as a whole, so such texts are in one class if they
@@ -32,6 +33,8 @@ from marketlens.llm.common import (
 
 SHINGLE, SIMILARITY = 5, 0.8
 REGISTERS, BANDS = 128, 32
+# Set sizes are of one size class if they are between two neighbouring powers of this.
+SIZE_STEP = 1.05
 _RAW = random_table(5)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -188,6 +191,46 @@ def candidate_pairs(shared: DataFrame, classes: DataFrame | None, seed: int, sim
     return pairs.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct()
 
 
+def remaining_pairs(mixed_docs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs a < b of different classes among doc, root: all that are as similar as asked for, and some that are not.
+
+    A prefix filter. Every document's shingles are put in one order: those of one class only (no pair can share them),
+    then the others, rare ones first. If the first shingle that two sets share is at i in one and j in the other, they
+    share min(n - i, m - j) at most, and need s / (1 + s) * (n + m). So a shingle stands only for partners of up to
+    (1 + s) / s * (n - i) - n shingles. Partners meet by shingle and size classes. Classes meet before their documents do.
+    """
+    docs = mixed_docs.join(sets, "doc").select("doc", "root", F.size("items").alias("n"), "items")
+    items = docs.select("doc", "root", F.explode("items").alias("item"))
+    counts = items.groupBy("item").agg(F.count("*").alias("holders"), (F.min("root") != F.max("root")).alias("mixed"))
+    counts = counts.filter("mixed").drop("mixed")
+    ranked = items.join(counts, "item").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("holders", "item"))).alias("ranked"))
+    ranked = docs.drop("items").join(ranked, "doc").select("doc", "root", "n", F.posexplode("ranked").alias("at", "e"), F.size("ranked").alias("of"))
+    # left: how many shingles this one and all later ones are.
+    placed = ranked.select("doc", "root", "n", F.col("e.item").alias("item"), (F.col("of") - F.col("at")).alias("left"))
+    most = (1 + similarity) / similarity * F.col("left") - F.col("n")
+
+    def size_class(n):
+        return F.floor(F.log(n) / float(np.log(SIZE_STEP)))
+
+    low = F.col("n") * (similarity * (1 - 1e-9))
+    placed = placed.withColumn("most", most * (1 + 1e-9)).filter(F.col("most") >= low)
+    placed = placed.withColumn("own", size_class(F.col("n"))).withColumn("partner", F.explode(F.sequence(size_class(low), size_class(F.col("most")))))
+    key = ["item", "small", "large"]
+    placed = placed.withColumns({"small": F.least("own", "partner"), "large": F.greatest("own", "partner")})
+    placed = staged(placed.select("doc", "root", "n", "left", "own", *key), "prefixes")
+
+    def side(size: str, root: str, member: str):
+        rows = placed.filter(F.col("own") == F.col(size))
+        return rows.select(*key, F.col("root").alias(root), F.struct("doc", "n", "left").alias(member))
+
+    x, y = side("small", "x_root", "x"), side("large", "y_root", "y")
+    meet = x.select(*key, "x_root").distinct().join(y.select(*key, "y_root").distinct(), key)
+    meet = meet.filter("x_root != y_root AND (small != large OR x_root < y_root)")
+    needed = (F.col("x.n") + F.col("y.n")) * (similarity / (1 + similarity) * (1 - 1e-9))
+    pairs = meet.join(x, [*key, "x_root"]).join(y, [*key, "y_root"]).filter(F.least("x.left", "y.left") >= needed)
+    return pairs.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, similarity: float = SIMILARITY
 ) -> DataFrame:
@@ -211,17 +254,27 @@ def near_duplicates(
     shared = met.select("doc", "n", F.explode(F.array("band", "finer")).alias("band"))
     sets = staged(shingle_sets(rows.join(met.select("doc").distinct(), "doc"), size), "shingle-sets")
 
+    def linked(new: DataFrame, classes: DataFrame | None) -> DataFrame:
+        known = new if classes is None else new.unionByName(classes.select(F.col("doc").alias("a"), F.col("root").alias("b")))
+        return staged(components(known), "classes")
+
     classes, seed = None, 0
     while True:
         new = staged(verified(candidate_pairs(shared, classes, seed, similarity), sets, similarity), "links")
         if not new.isEmpty():
-            known = new if classes is None else new.unionByName(classes.select(F.col("doc").alias("a"), F.col("root").alias("b")))
-            classes = staged(components(known), "classes")
+            classes = linked(new, classes)
         elif seed:
             break
         else:
             classes = shared.select("doc", F.col("doc").alias("root")).limit(0)
         seed += 1
+    # Finer buckets are parts of bands, so the bands hold all that is left.
+    rows = met.select("doc", "band").join(classes, "doc", "left").withColumn("root", F.coalesce("root", "doc"))
+    several = rows.groupBy("band").agg((F.min("root") != F.max("root")).alias("mixed")).filter("mixed").select("band")
+    left = staged(rows.join(several, "band").select("doc", "root").distinct(), "mixed")
+    new = staged(verified(remaining_pairs(left, sets, similarity), sets, similarity), "links")
+    if not new.isEmpty():
+        classes = linked(new, classes)
     found = members.select("doc", "rep").join(classes.withColumnRenamed("doc", "rep"), "rep", "left")
     return found.select(F.col("doc").alias(key), F.coalesce("root", "rep").alias("class_id")).unionByName(bare)
 

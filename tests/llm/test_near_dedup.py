@@ -1,3 +1,4 @@
+import random
 from collections import defaultdict
 
 import duckdb
@@ -63,3 +64,31 @@ def test_registers_estimate_probability_jaccard(shared):
     both = np.flatnonzero((full[0] > 0) & (full[1] > 0))
     want = sum(1 / np.maximum(full[0] / full[0][d], full[1] / full[1][d]).sum() for d in both)
     assert abs((who[0] == who[1]).mean() - want) < 0.03
+
+
+def test_similar_pairs_among_templates(spark):
+    """Thousands of documents at 0.75 to each other, which fill each other's buckets, and some pairs at 0.8 and more."""
+    rng = random.Random(11)
+    # A shared passage of 94 words (90 shingles), then own words: 15 own shingles (with those across the joint) give 90 / 120.
+    passage = [f"p{i}" for i in range(94)]
+    rows = [(i, " ".join([*passage, *(f"w{rng.randrange(10**9)}" for _ in range(15))])) for i in range(3_000)]
+    for i in range(5, 3_000, 250):  # the same passage and the first of the own words
+        words = rows[i][1].split()
+        rows.append((10_000 + i, " ".join([*words[:98], *(f"w{rng.randrange(10**9)}" for _ in range(11))])))
+    # Own words are of no other document, so 94 of 116 shingles are common to each such pair, and 90 of 120 to all others.
+    want = {i: i for i in range(3_000)} | {i: i - 10_000 for i, _ in rows[3_000:]}
+    assert len(want) == 3_012 and brute(rows[:20] + rows[3_000:3_001]) == {k: want[k] for k in [*range(20), 10_005]}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.class_id for r in N.near_duplicates(docs).collect()} == want
+
+
+def test_remaining_pairs_are_all_similar_pairs_of_different_classes(spark):
+    rng = random.Random(12)
+    pool = list(range(60))
+    sets = {d: set(rng.sample(pool, k)) | {1000 * d + j for j in range(rng.randrange(3))} for d in range(150) for k in [rng.choice([1, 4, 5, 20, 50, 54, 57])]}
+    root = {d: d % 40 for d in sets}
+    want = {(a, b) for a in sets for b in sets if a < b and root[a] != root[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    items = spark.createDataFrame([(d, sorted(s)) for d, s in sets.items()], "doc long, items array<long>")
+    pairs = N.remaining_pairs(spark.createDataFrame(list(root.items()), "doc long, root long"), items, 0.8).collect()
+    assert len(want) > 20 and want <= {tuple(p) for p in pairs}
+    assert all(root[a] != root[b] for a, b in pairs)
