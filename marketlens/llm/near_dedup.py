@@ -1,9 +1,10 @@
 """Near-duplicate classes by ProbMinHash, banding and verification.
 
 A document is the set of its runs of ``SHINGLE`` words. ProbMinHash draws for every shingle a Poisson process of
-arrivals whose rate is the shingle's weight (1 + ln of its count). Each arrival falls into a random one of ``REGISTERS`` registers, which
+arrivals whose rate is the shingle's weight. Each arrival falls into a random one of ``REGISTERS`` registers, which
 remembers the shingle that came first; a process ends when it is later than all registers. Two documents agree in a
-register with the probability that is the probability Jaccard similarity of their weighted sets.
+register with the probability that is the probability Jaccard similarity of their weighted sets. All weights are 1,
+however often a shingle is repeated, so that is the Jaccard similarity of the sets, by which pairs are verified.
 
 The registers form ``BANDS`` bands. Documents that agree in a whole band share a bucket (in two bands, a finer one); at a similarity of 0.8 two
 documents share none with a probability of 5e-8. Documents are not paired within buckets: each is compared with a pivot
@@ -102,12 +103,12 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            item, text, count = shingles(batch.column("text"), size)
+            item, text, _ = shingles(batch.column("text"), size)
             texts = batch.num_rows
             same = np.zeros((2, texts), np.uint64)
             for k in (0, 1):
                 np.add.at(same[k], text, mixed(item + _steps(k + 1)))
-            found = bands(registers(item, text, 1 + np.log(count), texts))
+            found = bands(registers(item, text, np.ones(len(item)), texts))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(texts + 1) * BANDS, pa.int32()), pa.array(found.ravel().view(np.int64)))
             n = np.bincount(text, minlength=texts)
             yield pa.RecordBatch.from_arrays(

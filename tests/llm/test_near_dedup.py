@@ -92,3 +92,17 @@ def test_remaining_pairs_are_all_similar_pairs_of_different_classes(spark):
     pairs = N.remaining_pairs(spark.createDataFrame(list(root.items()), "doc long, root long"), items, 0.8).collect()
     assert len(want) > 20 and want <= {tuple(p) for p in pairs}
     assert all(root[a] != root[b] for a, b in pairs)
+
+
+def test_lines_repeated_in_one_copy(spark):
+    """A count does not matter: sets of 100 common and 12 own shingles each, with 20 of them thousands of times in one text."""
+    rng = random.Random(13)
+    rows = []
+    for i in range(30):
+        line, rest = ([f"w{rng.randrange(10**9)}" for _ in range(n)] for n in (20, 80))
+        own = [[f"w{rng.randrange(10**9)}" for _ in range(12)] for _ in range(2)]
+        rows += [(2 * i, " ".join([*line * 2, *rest, *own[0]])), (2 * i + 1, " ".join([*line * 1_000, *rest, *own[1]]))]
+    want = brute(rows)
+    assert want == {k: k // 2 * 2 for k in range(60)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.class_id for r in N.near_duplicates(docs).collect()} == want
