@@ -38,15 +38,18 @@ SILVER = [
 
 # Sales per order and product. The mart job stores them; marts and reports start from them.
 SALES_LINES = "stage_sales_lines"
+# Session setting: "true" if quoted values of the raw files may hold line breaks.
+MULTI_LINE = "spark.marketlens.csv.multiLine"
 
 
 def read_raw(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The raw CSV sources of a folder, with file positions. Sellers may be missing."""
+    multi_line = spark.conf.get(MULTI_LINE, "false") == "true"
     raw = {}
     for name, schema in schemas.RAW_SOURCES.items():
         path = f"{folder.rstrip('/')}/{name}.csv"
         read = read_optional_source if name == "sellers" else read_csv_source
-        df = read(spark, path, schema, file_order=True)
+        df = read(spark, path, schema, file_order=True, multi_line=multi_line)
         if df is not None:
             raw[name] = df
     return raw

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import re
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,20 +18,50 @@ from marketlens.functions.money import nan_to_null
 # used by "keep first" operators.
 FILE_ORDER = "_file_order"
 
+# A quote within quotes is doubled. (Spark's default is a backslash before it.)
+CSV = {"header": True, "escape": '"'}
+
+
+def files_by_header(spark: SparkSession, path: str, options: dict) -> list[tuple[list[str], list[str]]]:
+    """Each distinct header of the files of ``path``, and paths that have it. Empty files have none."""
+    files = sorted(spark.read.text(path).inputFiles())
+    if len(files) < 2:
+        return [(spark.read.options(**options).csv(path).columns, [path])]
+    found: dict[tuple, list[str]] = {}
+    for file in files:
+        name = re.sub(r"([\\*?{}\[\]])", r"\\\1", unquote(file))
+        found.setdefault(tuple(spark.read.options(**options).csv(name).columns), []).append(name)
+    found.pop((), None)
+    if len(found) < 2:
+        return [(list(header), [path]) for header in found or [()]]
+    return [(list(header), names) for header, names in found.items()]
+
 
 def read_csv_source(
-    spark: SparkSession, path: str, schema: StructType, file_order: bool = False
+    spark: SparkSession, path: str, schema: StructType, file_order: bool = False, multi_line: bool = False
 ) -> DataFrame:
-    """CSV with a header line. A missing path raises.
+    """CSV with a header line: a file, or a folder of files with a header each. A missing path raises.
 
-    Columns are matched by the names in the header, so their order is free: names in ``schema`` get
-    its type, others are read as text, absent ones stay absent. Only the header is looked at before
-    the scan; no inference pass reads the data. NaN becomes NULL.
+    Columns are matched by the names in the header of each file, so their order is free: names in
+    ``schema`` get its type, others are read as text, absent ones stay absent (NULL, if only some files
+    have them). Only the headers are looked at before the scan; no inference pass reads the data. NaN
+    becomes NULL. ``multi_line``: quoted values may hold line breaks; a file is then read by one task.
     """
-    header = spark.read.option("header", True).csv(path).columns
+    options = CSV | {"multiLine": multi_line}
+    scans = [
+        _scan(spark, header, paths, schema, options, file_order)
+        for header, paths in files_by_header(spark, path, options)
+    ]
+    rows = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+    return rows.select(*(c for c in rows.columns if c != FILE_ORDER), *[FILE_ORDER] * file_order)
+
+
+def _scan(
+    spark: SparkSession, header: list[str], paths: list[str], schema: StructType, options: dict, file_order: bool
+) -> DataFrame:
     known = {field.name: field.dataType for field in schema.fields}
     layout = StructType([StructField(name, known.get(name, StringType())) for name in header])
-    rows = spark.read.schema(layout).option("header", True).csv(path)
+    rows = spark.read.schema(layout).options(**options).csv(paths)
     columns = [
         nan_to_null(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
         for f in layout.fields
@@ -70,7 +104,7 @@ def query_tables(
 def read_published(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A published CSV; an empty frame of the same schema when it is not there yet."""
     try:
-        return spark.read.schema(schema).option("header", True).csv(path)
+        return spark.read.schema(schema).options(**CSV, multiLine=True).csv(path)
     except AnalysisException:
         return spark.createDataFrame([], schema)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.sources.readers import FILE_ORDER
+from marketlens.sources.readers import CSV, FILE_ORDER
 
 
 def save_stored(df: DataFrame, base: str, name: str, partition_by: list[str] | None = None) -> str:
@@ -33,8 +33,8 @@ def save_catalog_table(
 
 
 def save_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header line. Blanks around a value are part of it and stay."""
-    writer = df.write.mode("overwrite").option("header", True)
+    """CSV with a header line and doubled quotes. Blanks around a value are part of it and stay."""
+    writer = df.write.mode("overwrite").options(**CSV)
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 

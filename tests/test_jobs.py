@@ -64,6 +64,37 @@ def test_csv_source(spark, raw):
         readers.read_csv_source(spark, f"{raw}/nothing.csv", schemas.ORDERS)
 
 
+def test_csv_folder_with_several_headers(spark, tmp_path):
+    folder = tmp_path / "a folder [x]" / "customers.csv"
+    folder.mkdir(parents=True)
+    (folder / "1.csv").write_text("customer_id,customer_city,customer_zip_code_prefix\nc1,rio,1\n")
+    (folder / "2.csv").write_text("customer_city,customer_zip_code_prefix,customer_id,note\nlima,2,c2,n\n")
+    (folder / "3.csv").write_text("customer_id,customer_city,customer_zip_code_prefix\nc3,oslo,3\n")
+    (folder / "4.csv").write_text("")
+    for file_order in (False, True):
+        path = str(folder).replace("[", "\\[").replace("]", "\\]")
+        df = readers.read_csv_source(spark, path, schemas.CUSTOMERS, file_order=file_order)
+        rows = {(r.customer_id, r.customer_city, r.customer_zip_code_prefix, r.note) for r in df.collect()}
+        assert rows == {("c1", "rio", 1, None), ("c2", "lima", 2, "n"), ("c3", "oslo", 3, None)}
+        assert (readers.FILE_ORDER in df.columns) == file_order
+
+
+def test_csv_round_trip_of_quotes_and_line_breaks(spark, tmp_path):
+    import csv
+
+    cities = ['sao "x", paulo', "two\nlines", 'back\\slash"', " blank ", "plain"]
+    path = str(tmp_path / "out.csv")
+    df = spark.createDataFrame([(str(i), c) for i, c in enumerate(cities)], "customer_id string, customer_city string")
+    writers.save_csv(df.coalesce(1), path)
+    (part,) = pathlib.Path(path).glob("part-*")
+    with part.open(newline="") as file:
+        assert [r["customer_city"] for r in csv.DictReader(file)] == cities
+    back = readers.read_csv_source(spark, path, schemas.CUSTOMERS, multi_line=True)
+    assert {r.customer_city for r in back.collect()} == set(cities)
+    published = readers.read_published(spark, path, df.schema)
+    assert {r.customer_city for r in published.collect()} == set(cities)
+
+
 def test_optional_source(spark, raw):
     assert readers.read_optional_source(spark, f"{raw}/sellers.csv", schemas.SELLERS) is None
     (raw / "sellers.csv").write_text("seller_id,seller_city\ns1,x\ns1,y\n")
