@@ -1,8 +1,7 @@
 """Every query of the catalogue against its SQL, exactly, on the test tables."""
 
 import pytest
-from compare import duck, duck_rows, spark_rows
-from conftest import TESTDATA
+from compare import TESTDATA, duck, duck_rows, spark_rows
 
 from marketlens.plans import catalog, oracle
 

@@ -3,21 +3,22 @@
 import re
 
 import pytest
-from conftest import TESTDATA
+from compare import TESTDATA
 from pyspark.sql import functions as F
 
 from marketlens.operators import clean, marts
 from marketlens.plans import catalog
 
 SF_DIR = f"{TESTDATA}/sf0.001"
-WRITING = {
+# These write files and read them back; the matrix looks its number of months up.
+RUN_AT_BUILD = {
+    "cohort_matrix_pivot",
     "cohort_csv_published",
     "sla_csv_published",
     "kpi_json_published",
     "dedup_report_published",
-    "stored_table_counts",
 }
-LAZY = sorted(set(catalog.queries()) - WRITING)
+LAZY = sorted(name for name in catalog.queries() if name not in RUN_AT_BUILD and not name.startswith("stored_"))
 
 
 def plan(df):
@@ -49,7 +50,8 @@ def test_scans_read_only_what_they_need(spark):
     )
     schemas = re.findall(r"ReadSchema: struct<(.*)>", text)
     part = [s for s in schemas if "p_partkey" in s]
-    assert part == ["p_partkey:bigint,p_type:string"]
+    # The order in which the first of repeated products is kept takes in the length of the name.
+    assert part == ["p_partkey:bigint,p_name:string,p_type:string"]
     assert "PushedFilters: [IsNotNull(p_partkey)" in text
 
 
