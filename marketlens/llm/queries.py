@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import decontaminate, exact_dedup, html_text, near_dedup, packing, quality, substrings, tokens, toxicity, url_filter
+from marketlens.llm import decontaminate, exact_dedup, html_text, near_dedup, packing, quality, ranked_search, substrings, tokens, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -21,7 +21,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         packing.op8_packing,
         decontaminate.op9_decontaminate,
         substrings.op10_substring_dedup,
+        ranked_search.op11_ranked_search,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.OP7_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op7_exact_dedup": exact_dedup.OP7_SQL,
+    "op11_ranked_search": ranked_search.OP11_SQL,
+}
