@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import centroids, decontaminate, exact_dedup, html_text, near_dedup, packing, quality, ranked_search, substrings, tokens, toxicity, url_filter
+from marketlens.llm import centroids, decontaminate, exact_dedup, html_text, jaccard_join, near_dedup, packing, quality, ranked_search, substrings, tokens, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         substrings.op10_substring_dedup,
         ranked_search.op11_ranked_search,
         centroids.op12_centroid_clusters,
+        jaccard_join.op13_jaccard_components,
     )
 }
 
@@ -30,4 +31,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_exact_dedup": exact_dedup.OP7_SQL,
     "op11_ranked_search": ranked_search.OP11_SQL,
     "op12_centroid_clusters": centroids.OP12_SQL,
+    "op13_jaccard_components": jaccard_join.OP13_SQL,
 }
