@@ -14,12 +14,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from marketlens.functions.dates import floor_days, parse_timestamp
 from marketlens.functions.money import nan_to_null
 from marketlens.functions.text import strip_lower
 from marketlens.operators.skew import members_of_repeated_groups
-from marketlens.sources.readers import FILE_ORDER, has_columns
+from marketlens.sources.readers import BAD_ROW, FILE_ORDER, has_columns
 
 # Raw order status -> standard status. Other values stay as they are.
 STATUS_MAP = {
@@ -253,6 +254,23 @@ def transform_orders(orders: DataFrame, customers: DataFrame | None = None, **op
     return rows.join(customers.select("customer_id"), "customer_id", "left_semi").select(*rows.columns)
 
 
+# The rule that a row breaks, as a column of flagged rows; of several the first.
+RULE, ACCEPTED = "rule", "accepted"
+NO_CUSTOMER, BAD_PRICE, BAD_FREIGHT, REPEATED_ITEM = "unknown_customer", "price", "freight_value", "repeated_item"
+
+
+def flagged_orders(orders: DataFrame, customer_ids: DataFrame, **options) -> DataFrame:
+    """All orders, cleaned, with the rule they break. ``customer_ids`` holds every known customer id once.
+
+    One pass gives accepted and rejected rows. The join is one of plain shuffles (or a broadcast below Spark's size
+    threshold), in which Spark splits a customer with very many orders at run time.
+    """
+    rows = conform_orders(orders, **options)
+    known = customer_ids.select("customer_id", F.lit(True).alias("_known"))
+    rule = F.when(F.col("_known"), ACCEPTED).otherwise(NO_CUSTOMER)
+    return rows.join(known, "customer_id", "left").select(*rows.columns, rule.alias(RULE))
+
+
 def rejected_orders(orders: DataFrame, customers: DataFrame, **options) -> DataFrame:
     """The orders that ``transform_orders`` leaves out."""
     rows = conform_orders(orders, **options)
@@ -303,6 +321,64 @@ def transform_items(items: DataFrame, drop_repeated: bool = False) -> DataFrame:
     return keep_first(rows, ["order_id", "order_item_id"]) if drop_repeated else rows
 
 
+def flagged_items(items: DataFrame, drop_repeated: bool = False) -> DataFrame:
+    """All items with the rule they break. ``drop_repeated``: only the first accepted row per (order_id, order_item_id)
+    stays, the others are flagged too. Equal rows are told apart by their place in the scan that ``items`` is."""
+    rule = F.lit(ACCEPTED)
+    if "freight_value" in items.columns:
+        rule = F.when(_bad_freight(), BAD_FREIGHT).otherwise(rule)
+    if "price" in items.columns:
+        rule = F.when(_bad_price(), BAD_PRICE).otherwise(rule)
+    amounts = {c: nan_to_null(F.col(c)) for c in ("price", "freight_value") if c in items.columns}
+    rows = items.withColumn(RULE, rule).withColumns(amounts)
+    if not drop_repeated:
+        return rows
+    keys = ["order_id", "order_item_id"]
+    rows = rows.withColumn("_row", F.monotonically_increasing_id())
+    # The first row is found by an aggregation, so a key with very many rows is combined before the shuffle.
+    order = F.struct(*row_order(items, keys), "_row")
+    first = rows.filter(F.col(RULE) == ACCEPTED).groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min(order).alias("_first"))
+    same = F.col("order_id").eqNullSafe(F.col("_order_id")) & F.col("order_item_id").eqNullSafe(F.col("_order_item_id"))
+    later = (F.col(RULE) == ACCEPTED) & ~order.eqNullSafe(F.col("_first"))
+    return rows.join(first, same, "left").select(*items.columns, F.when(later, REPEATED_ITEM).otherwise(F.col(RULE)).alias(RULE))
+
+
+def item_rule_report(figures: dict[str, int]) -> list[tuple]:
+    """The one row of ``item_rule_counts`` from figures counted while the items were written."""
+    price, freight, kept = (figures.get(k, 0) for k in (BAD_PRICE, BAD_FREIGHT, ACCEPTED))
+    repeated = figures.get(REPEATED_ITEM, 0)
+    return [(price + freight + kept + repeated, price, freight, kept + repeated)]
+
+
+def bad_values(rows: DataFrame, schema: StructType, keys: list[str]) -> DataFrame:
+    """What cannot be read in rows of text: row_key, column_name, raw_value, problem.
+
+    One row per number that is present but unreadable, or infinite; and one per row that has not as many fields as its
+    header (column_name NULL, raw_value the line). NaN is a missing value. Dates are reported by ``bad_dates``.
+    """
+
+    def entry(name: Column, value: Column, problem: Column) -> Column:
+        return F.struct(name.cast("string").alias("column_name"), value.cast("string").alias("raw_value"), problem.alias("problem"))
+
+    found = []
+    for field in schema.fields:
+        if field.name not in rows.columns or field.dataType == StringType() or rows.schema[field.name].dataType != StringType():
+            continue
+        raw = F.col(field.name)
+        value = raw.try_cast(field.dataType)
+        problem = F.when(raw.isNotNull() & value.isNull(), "unreadable")
+        if field.dataType.typeName() == "double":
+            problem = problem.when(F.abs(value) == float("inf"), "infinite")
+        found.append(entry(F.lit(field.name), raw, problem))
+    if BAD_ROW in rows.columns:
+        found.append(entry(F.lit(None), F.col(f"{BAD_ROW}.line"), F.col(f"{BAD_ROW}.problem")))
+    if not found:
+        return rows.limit(0).select(*[F.lit(None).cast("string").alias(c) for c in ("row_key", "column_name", "raw_value", "problem")])
+    row_key = F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys if k in rows.columns])
+    listed = F.filter(F.array(*found), lambda e: e["problem"].isNotNull())
+    return rows.select(row_key.alias("row_key"), F.explode(listed).alias("e")).select("row_key", "e.*")
+
+
 def item_rule_counts(items: DataFrame) -> DataFrame:
     """One row: input rows, rows removed by each rule in turn, rows kept."""
     bad_price = _bad_price() if "price" in items.columns else F.lit(False)

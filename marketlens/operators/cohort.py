@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.dates import month_number, month_start
 from marketlens.functions.rounding import fixed_point, half_even_2, mean_of_fixed
+from marketlens.sources.readers import fetch_scalar
 
 # Statuses that do not count as a purchase.
 EXCLUDED_STATUSES = ["cancelled", "unavailable"]
@@ -108,14 +109,16 @@ def retention_rates(counts: DataFrame) -> DataFrame:
 def retention_matrix(counts: DataFrame, last_month: int | None = None) -> DataFrame:
     """Heat-map data: one row per cohort, ``m0`` .. ``m<last_month>`` in percent, 0 where nobody came.
 
-    The width comes from the data (one number is looked up); a smaller ``last_month`` is an error, as it would drop
-    months.
+    ``last_month``: the largest ``months_diff`` of the counts, where it is known (the cohort job counts it while it stores
+    them); otherwise it is looked up. A smaller one is an error when the query runs, as it would drop months.
     """
-    last = counts.agg(F.max("months_diff")).first()[0]
-    last = 0 if last is None else last
-    if last_month is not None and last_month < last:
-        raise ValueError(f"there are customers {last} months after their first; last_month is {last_month}")
-    months = list(range((last if last_month is None else last_month) + 1))
+    if last_month is None:
+        last = fetch_scalar(counts.agg(F.max("months_diff")))
+        last_month = 0 if last is None else last
+    months = list(range(last_month + 1))
+    beyond = F.raise_error(F.concat(F.lit(f"last_month is {last_month}, but there are customers after months: "), F.col("months_diff")))
+    known = F.when(F.col("months_diff") > last_month, beyond.cast("int")).otherwise(F.col("months_diff"))
+    counts = counts.withColumn("months_diff", known)
     wide = counts.groupBy("cohort_month").pivot("months_diff", months).agg(F.sum("n_customers"))
     return wide.select(
         "cohort_month",
@@ -156,6 +159,13 @@ def repeat_customers(orders: DataFrame, k: int | None = 10) -> DataFrame:
     return found if k is None else found.orderBy(F.col("orders_count").desc(), "customer_id").limit(k)
 
 
+def has_repeat_customers(orders: DataFrame) -> DataFrame:
+    """One row: whether any customer has more than one order."""
+    counted = orders.filter(~F.col("order_status").isin(EXCLUDED_STATUSES))
+    per_customer = counted.groupBy("customer_id").agg(F.count("order_id").alias("n"))
+    return per_customer.agg(F.coalesce(F.max("n") > 1, F.lit(False)).alias("repeat_customers"))
+
+
 def retention_m0_m1(orders: DataFrame) -> DataFrame:
     """Share of each cohort active in the month after the first; orders of every status count."""
     rows = orders.select("customer_id", month_start(F.col("order_purchase_timestamp")).alias("month"))

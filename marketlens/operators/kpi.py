@@ -114,6 +114,15 @@ def order_total_summary(orders: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def order_total_summary_of_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """The same without a join: order totals from the lines, counts from the orders."""
+    totals = lines.groupBy("order_id").agg(F.sum("gross").alias("gross"))
+    counts = orders.agg(F.struct(F.count(F.lit(1)).alias("orders"), F.countDistinct("customer_id").alias("customers"))).scalar()
+    sums = totals.agg(from_cents(F.sum("gross")).alias("gmv"), per(from_cents(F.sum("gross")), F.count("gross")).alias("aov"))
+    both = sums.withColumn("counts", counts)
+    return both.select("gmv", F.col("counts.orders").alias("total_orders"), F.col("counts.customers").alias("unique_customers"), "aov")
+
+
 def category_revenue(product_mart: DataFrame, k: int | None = 10) -> DataFrame:
     """Top categories, rolled up from the product mart."""
     sums = (
@@ -234,12 +243,13 @@ def delivery_by_city(delivery_mart: DataFrame, k: int | None = 5) -> DataFrame:
 # --- assembly ------------------------------------------------------------------------------------
 
 
-def retention_record(average_retention: DataFrame) -> DataFrame:
-    """Month-1 retention as text with a note, from the cohort averages."""
+def retention_record(average_retention: DataFrame, repeat_customers: DataFrame) -> DataFrame:
+    """Month-1 retention as text, from the cohort averages. The note says that nobody came back only if that is so
+    (``cohort.has_repeat_customers``): a retention of 0 can also mean that customers came back later, or the same month."""
     rate = F.coalesce(F.col("avg_retention_month_1"), F.lit(0.0))
     return average_retention.select(
         F.format_string("%.1f%%", rate).alias("retention_m0_m1"),
-        F.when(rate == 0, NO_REPEAT_NOTE).otherwise(REPEAT_NOTE).alias("note"),
+        F.when(repeat_customers.scalar(), REPEAT_NOTE).otherwise(NO_REPEAT_NOTE).alias("note"),
     )
 
 
@@ -351,9 +361,18 @@ def kpi_report(document: DataFrame) -> DataFrame:
 
 def metrics_summary(orders: DataFrame, items: DataFrame) -> DataFrame:
     """The short KPI summary as (metric, value)."""
+    return _metrics_summary(order_total_summary(orders, items), orders)
+
+
+def metrics_summary_of_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """The same from the staged sales lines."""
+    return _metrics_summary(order_total_summary_of_lines(lines, orders), orders)
+
+
+def _metrics_summary(row: DataFrame, orders: DataFrame) -> DataFrame:
     promised = late_versus_promised(orders).scalar()
     names = ["gmv", "total_orders", "unique_customers", "aov", "late_delivery_share"]
-    row = order_total_summary(orders, items).withColumn("late_delivery_share", promised)
+    row = row.withColumn("late_delivery_share", promised)
     entries = [
         F.struct(F.lit(name).alias("metric"), F.col(name).cast("double").alias("value")) for name in names
     ]

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string
 
 from marketlens.functions.money import nan_to_null
 from marketlens.operators.clean import MAX_FREIGHT
@@ -14,6 +15,19 @@ from marketlens.sources.readers import has_columns
 # Statuses a cleaned order may have.
 ALLOWED_STATUSES = ["delivered", "cancelled", "approved", "shipped", "unknown"]
 
+# The checks of the summary, in its order, but for the ranges, which depend on the columns of the items.
+CHECKS = [
+    "pk_order_id",
+    "pk_customer_id",
+    "pk_product_id",
+    "pk_order_item",
+    "fk_customer",
+    "fk_item_order",
+    "fk_item_product",
+    "allowed_status",
+    "delivered_before_purchase",
+]
+
 
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Primary-key check: keys that occur more than once, with their count ``c``."""
@@ -101,51 +115,85 @@ def delivered_before_purchase(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col("delivery_time_days") < 0).select("order_id", "delivery_time_days")
 
 
-def quality_summary(
-    orders: DataFrame,
-    customers: DataFrame,
-    items: DataFrame,
-    products: DataFrame,
-    examples: int = 5,
-) -> DataFrame:
-    """One row per check: check_name, passed, n_bad, sample (first few offenders as text).
-
-    All offenders are one frame, of which one aggregation counts and one, limited per check before the shuffle, shows
-    the first.
-    """
+def offenders(orders: DataFrame, customers: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
+    """All rows and keys that fail a check: check_name, example (the offender as text)."""
 
     def shown(df: DataFrame, name: str | Column, *columns: str) -> DataFrame:
         parts = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns]
         return df.select(F.lit(name).alias("check_name"), F.concat_ws("/", *parts).alias("example"))
 
-    ranges = {f"range_{name}": bad for name, bad in _range_rules(items).items()}
-    flags = F.array(*[F.when(bad, F.lit(name)) for name, bad in ranges.items()])
-    bad_items = items.select("order_id", "order_item_id", F.explode(F.array_compact(flags)).alias("rule")) if ranges else None
     keys = {"order_id": orders, "customer_id": customers, "product_id": products}
-    found = {
-        **{f"pk_{key}": shown(repeated_keys(df, [key]), f"pk_{key}", key) for key, df in keys.items()},
-        "pk_order_item": shown(repeated_keys(items, ["order_id", "order_item_id"]), "pk_order_item", "order_id", "order_item_id"),
-        "fk_customer": shown(orders_without_customer(orders, customers, None), "fk_customer", "order_id"),
-        "fk_item_order": shown(missing_reference_counts(items, orders, "order_id"), "fk_item_order", "order_id"),
-        "fk_item_product": shown(missing_reference_counts(items, products, "product_id"), "fk_item_product", "product_id"),
-        "allowed_status": shown(unexpected_statuses(orders), "allowed_status", "order_status"),
-        "delivered_before_purchase": shown(delivered_before_purchase(orders), "delivered_before_purchase", "order_id"),
-    }
-    offenders = reduce(DataFrame.unionByName, found.values())
-    if bad_items is not None:
-        offenders = offenders.unionByName(shown(bad_items, F.col("rule"), "order_id", "order_item_id"))
+    found = [
+        *[shown(repeated_keys(df, [key]), f"pk_{key}", key) for key, df in keys.items()],
+        shown(repeated_keys(items, ["order_id", "order_item_id"]), "pk_order_item", "order_id", "order_item_id"),
+        shown(orders_without_customer(orders, customers, None), "fk_customer", "order_id"),
+        shown(missing_reference_counts(items, orders, "order_id"), "fk_item_order", "order_id"),
+        shown(missing_reference_counts(items, products, "product_id"), "fk_item_product", "product_id"),
+        shown(unexpected_statuses(orders), "allowed_status", "order_status"),
+        shown(delivered_before_purchase(orders), "delivered_before_purchase", "order_id"),
+    ]
+    ranges = {f"range_{name}": bad for name, bad in _range_rules(items).items()}
+    if ranges:
+        flags = F.array(*[F.when(bad, F.lit(name)) for name, bad in ranges.items()])
+        bad_items = items.select("order_id", "order_item_id", F.explode(F.array_compact(flags)).alias("rule"))
+        found.append(shown(bad_items, F.col("rule"), "order_id", "order_item_id"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def summary_of_offenders(offending: DataFrame, items: DataFrame, examples: int = 5) -> DataFrame:
+    """One row per check: check_name, passed, n_bad, sample (first few offenders as text).
+
+    One aggregation counts the offenders and one, limited per check before the shuffle, shows the first. Stored offenders
+    are read for both; the checks themselves are not run again.
+    """
     rank = F.row_number().over(Window.partitionBy("check_name").orderBy("example"))
-    counts = offenders.groupBy("check_name").agg(F.count(F.lit(1)).alias("n_bad"))
+    counts = offending.groupBy("check_name").agg(F.count(F.lit(1)).alias("n_bad"))
     firsts = (
-        offenders.withColumn("rank", rank)
+        offending.withColumn("rank", rank)
         .filter(F.col("rank") <= examples)
         .groupBy("check_name")
         .agg(F.array_join(F.array_sort(F.collect_list("example")), ", ").alias("sample"))
     )
-    names = orders.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, [*found, *ranges]))).alias("check_name"))
+    checks = [*CHECKS, *[f"range_{name}" for name in _range_rules(items)]]
+    names = offending.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, checks))).alias("check_name"))
     n_bad = F.coalesce("n_bad", F.lit(0))
     return (
         names.join(counts, "check_name", "left")
         .join(firsts, "check_name", "left")
         .select("check_name", (n_bad == 0).alias("passed"), n_bad.alias("n_bad"), F.coalesce("sample", F.lit("")).alias("sample"))
     )
+
+
+def quality_summary(
+    orders: DataFrame,
+    customers: DataFrame,
+    items: DataFrame,
+    products: DataFrame,
+    examples: int = 5,
+) -> DataFrame:
+    """The summary without a stored table in between."""
+    return summary_of_offenders(offenders(orders, customers, items, products), items, examples)
+
+
+def schema_drift(tables: dict[str, DataFrame], declared: dict[str, str]) -> DataFrame:
+    """Where stored tables differ from their declared columns (DDL): table_name, column_name, problem, declared, found.
+
+    The columns that are there come from the catalog. Problems: missing, extra, retyped; a table that is not there lacks
+    all its columns.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    found = []
+    for name, df in tables.items():
+        view = f"drift_{name}"
+        df.createOrReplaceTempView(view)
+        found += [(name, c.name, c.dataType) for c in spark.catalog.listColumns(view)]
+        spark.catalog.dropTempView(view)
+    wanted = [(name, f.name, f.dataType.simpleString()) for name, ddl in declared.items() for f in _parse_datatype_string(ddl).fields]
+    names = "table_name string, column_name string"
+    there = spark.createDataFrame(found, f"{names}, found string")
+    asked = spark.createDataFrame(wanted, f"{names}, declared string")
+    problem = (
+        F.when(F.col("found").isNull(), "missing").when(F.col("declared").isNull(), "extra").when(F.col("found") != F.col("declared"), "retyped")
+    )
+    both = asked.join(there, ["table_name", "column_name"], "full").withColumn("problem", problem)
+    return both.filter("problem IS NOT NULL").select("table_name", "column_name", "problem", "declared", "found")

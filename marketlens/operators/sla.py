@@ -12,6 +12,8 @@ from marketlens.operators.marts import LATE_DAYS, categorised_items, delivery_fi
 # Groups with fewer rows are left out.
 MIN_CITY_ORDERS = 10
 MIN_CATEGORY_ROWS = 5
+# Rows that are handed to a quantile sketch at once.
+SKETCH_RUN = 10_000
 
 
 def _late_rate() -> Column:
@@ -131,34 +133,62 @@ def top_by_orders(sla: DataFrame, key: str, k: int = 15) -> DataFrame:
     return sla.orderBy(F.col("total_orders").desc(), key).limit(k)
 
 
-def _median_days(histogram: DataFrame, key: str) -> DataFrame:
-    """Exact median from (key, days, n): memory per group is bounded by its distinct day values."""
-    return (
-        histogram.groupBy(key, "days")
-        .agg(F.sum("n").alias("n"))
-        .groupBy(key)
-        .agg(
-            F.sum("n").alias("total_orders"),
-            F.percentile("days", 0.5, F.col("n")).alias("median_delivery_days"),
-        )
-    )
+def _median_days(histogram: DataFrame, key: str, accuracy: int = 0) -> DataFrame:
+    """Median from (key, days, n).
+
+    Exact: memory per group is bounded by its distinct day values. With ``accuracy`` a mergeable quantile sketch, whose
+    size does not depend on the values: the rank of the result is off by at most 1 / accuracy of the group's rows.
+    """
+    counted = histogram.groupBy(key, "days").agg(F.sum("n").alias("n"))
+    median = F.percentile("days", 0.5, F.col("n"))
+    if accuracy:
+        # The sketch counts values, so a day value comes in once per row, in runs of bounded length.
+        runs = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / SKETCH_RUN)))
+        rest = F.least(F.col("n") - F.col("run") * SKETCH_RUN, F.lit(SKETCH_RUN)).cast("int")
+        counted = histogram.filter("n > 0").withColumn("run", runs).withColumn("n", F.explode(F.array_repeat(F.lit(1).cast("bigint"), rest)))
+        median = F.percentile_approx("days", 0.5, accuracy).cast("double")
+    return counted.groupBy(key).agg(F.sum("n").alias("total_orders"), median.alias("median_delivery_days"))
 
 
-def median_by_city(orders: DataFrame, customers: DataFrame) -> DataFrame:
+def median_by_city(orders: DataFrame, customers: DataFrame, accuracy: int = 0) -> DataFrame:
     per_customer = (
         delivery_figures(orders).groupBy("customer_id", "days").agg(F.count(F.lit(1)).alias("n"))
     )
-    return _median_days(per_customer.join(_city_of_customer(customers), "customer_id"), "customer_city")
+    return _median_days(per_customer.join(_city_of_customer(customers), "customer_id"), "customer_city", accuracy)
 
 
-def median_by_category(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
+def median_by_category(orders: DataFrame, items: DataFrame, products: DataFrame, accuracy: int = 0) -> DataFrame:
     rows = _category_of_item(items, products).join(delivery_figures(orders), "order_id")
-    return _median_days(rows.withColumn("n", F.lit(1).cast("bigint")), "product_category_name")
+    return _median_days(rows.withColumn("n", F.lit(1).cast("bigint")), "product_category_name", accuracy)
 
 
-def median_by_category_of_lines(lines: DataFrame) -> DataFrame:
+def median_by_category_of_lines(lines: DataFrame, accuracy: int = 0) -> DataFrame:
     """The same from the staged sales lines of the marts."""
-    return _median_days(_delivered_lines(lines).withColumn("n", F.col("n_rows")), "product_category_name")
+    return _median_days(_delivered_lines(lines).withColumn("n", F.col("n_rows")), "product_category_name", accuracy)
+
+
+def median_rank_check(medians: DataFrame, histogram: DataFrame, key: str, accuracy: int) -> DataFrame:
+    """Whether each median lies as near to the middle rank as promised: key, total_orders, within_bound.
+
+    ``histogram``: key, days, n. The ranks that a value stands for are those from the first to the last row that has it.
+    """
+    counted = histogram.groupBy(key, "days").agg(F.sum("n").alias("n"))
+    value = medians.select(key, "total_orders", "median_delivery_days")
+    placed = counted.join(value, key)
+    day, median = F.col("days"), F.col("median_delivery_days")
+    ranks = placed.groupBy(key, "total_orders").agg(
+        F.sum(F.when(day < median, F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(day <= median, F.col("n")).otherwise(0)).alias("up_to"),
+    )
+    middle, slack = F.col("total_orders") / 2, F.col("total_orders") / accuracy + 1
+    within = (F.col("below") <= middle + slack) & (F.col("up_to") >= middle - slack)
+    return ranks.select(key, "total_orders", within.alias("within_bound"))
+
+
+def city_histogram(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """customer_city, days, n: rows by delivery days."""
+    per_customer = delivery_figures(orders).groupBy("customer_id", "days").agg(F.count(F.lit(1)).alias("n"))
+    return per_customer.join(_city_of_customer(customers), "customer_id").groupBy("customer_city", "days").agg(F.sum("n").alias("n"))
 
 
 def late_versus_promised_orders(orders: DataFrame) -> DataFrame:

@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from marketlens import jobs
 from marketlens.operators import clean, cohort, dims, kpi, marts, quality, rfm, sla
 from marketlens.session import apply_scale_settings, work_dir
-from marketlens.sources import adapter, readers, schemas, writers
+from marketlens.sources import adapter, bronze, readers, schemas, writers
+from marketlens.sources.store import Store
 
 # The orders of the test tables span 1995-01 to 2001-08.
 RFM_SNAPSHOT = "2002-01-01"
+# Ranks of approximate medians may be off by a hundredth of the rows.
+MEDIAN_ACCURACY = 100
 
 TOP_CATEGORIES_SQL = """
 SELECT p.product_category_name,
@@ -108,12 +111,31 @@ class Tables:
 
     @cached_property
     def store(self) -> str:
-        """The folder of the tables that the ETL and mart jobs store, filled when first asked for."""
+        """The folder of the tables that the landing, cleaning and mart jobs store, filled when first asked for."""
+        return self._stored()
+
+    def _stored(self) -> str:
         base = work_dir(self.spark, "stored")
-        jobs.store_silver(self.raw, base)
+        bronze.land_frames(self.raw, base)
+        jobs.store_silver(self.spark, base)
         jobs.store_marts(self.spark, base)
         return base
 
+    @cached_property
+    def updated_store(self) -> str:
+        """The same after a later delivery of orders was merged into it."""
+        base = self._stored()
+        jobs.upsert_orders(self.spark, base, adapter.orders_delta(self.spark, self.sf_dir))
+        return base
+
+    @cached_property
+    def landed(self) -> str:
+        """The folder of a store into which raw files with unreadable values were landed."""
+        folder, base = work_dir(self.spark, "raw-files"), work_dir(self.spark, "landed")
+        adapter.write_raw_files(self.spark, self.sf_dir, folder)
+        jobs.land_raw(self.spark, folder, base)
+        return base
+
     @cached_property
     def cohort_counts(self) -> DataFrame:
         return cohort.cohort_counts(self.orders)
@@ -141,7 +163,7 @@ class Tables:
             kpi.category_revenue(self.product_performance),
             kpi.late_percent(self.orders),
             kpi.delivery_by_city(self.delivery_analysis),
-            kpi.retention_record(cohort.average_retention(self.cohort_retention)),
+            kpi.retention_record(cohort.average_retention(self.cohort_retention), cohort.has_repeat_customers(self.orders)),
         )
 
     @property
@@ -199,6 +221,29 @@ def _stored(name: str) -> Callable[[Tables], DataFrame]:
     return lambda t: readers.read_stored(t.spark, t.store, name).drop("order_month")
 
 
+def _updated(name: str) -> Callable[[Tables], DataFrame]:
+    return lambda t: readers.read_stored(t.spark, t.updated_store, name).drop("order_month")
+
+
+def _rejected(t: Tables) -> DataFrame:
+    return jobs.rejected_rows(*[readers.read_stored(t.spark, t.store, name) for name in ("rejected_orders", "rejected_items")])
+
+
+def _observed_item_rules(t: Tables) -> DataFrame:
+    figures = Store(t.spark, t.store).tables()["fact_order_items"]["figures"]
+    return t.spark.createDataFrame(clean.item_rule_report(figures), jobs.ITEM_RULES)
+
+
+def _approximate_medians(t: Tables) -> DataFrame:
+    medians = sla.median_by_city(t.orders, t.customers, MEDIAN_ACCURACY)
+    return sla.median_rank_check(medians, sla.city_histogram(t.orders, t.customers), "customer_city", MEDIAN_ACCURACY)
+
+
+def _schema_drift(t: Tables) -> DataFrame:
+    store = Store(t.spark, t.store)
+    return quality.schema_drift({name: store.read(name) for name in schemas.DECLARED if store.has(name)}, schemas.DECLARED)
+
+
 BY_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     # cleaning
     "clean_customers": lambda t: t.customers,
@@ -297,6 +342,9 @@ BY_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     "sla_top_categories": lambda t: sla.top_by_orders(t.sla_category, "product_category_name", 20),
     "sla_median_city": lambda t: sla.median_by_city(t.orders, t.customers),
     "sla_median_category": lambda t: sla.median_by_category(t.orders, t.items, t.products),
+    "sla_median_city_approx": _approximate_medians,
+    "kpi_summary_staged": lambda t: kpi.metrics_summary_of_lines(t.lines, t.orders),
+    "orders_with_dates": lambda t: readers.with_parsed_dates(t.orders_raw, *clean.DATE_COLUMNS).select("order_id", *clean.DATE_COLUMNS),
     "sla_category_staged": lambda t: sla.sla_category_of_lines(t.lines),
     "sla_median_category_staged": lambda t: sla.median_by_category_of_lines(t.lines),
     "late_vs_promised_orders": lambda t: sla.late_versus_promised_orders(t.orders),
@@ -307,6 +355,18 @@ BY_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     "dedup_report_published": _report_file,
     "stored_table_counts": _stored_tables,
     **{f"stored_{name}": _stored(name) for name in [*jobs.SILVER, *jobs.MARTS]},
+    # what the jobs count, reject and report while they store
+    "stored_audit_observed": lambda t: jobs.observed_audit(t.spark, t.store),
+    "stored_row_check": lambda t: jobs.row_check(jobs.observed_audit(t.spark, t.store)),
+    "stored_rejected_rows": _rejected,
+    "stored_item_rules_observed": _observed_item_rules,
+    "stored_schema_drift": _schema_drift,
+    # raw files with unreadable values, landed
+    "landed_bad_values": lambda t: jobs.landed_bad_values(t.spark, t.landed),
+    "landed_items": lambda t: bronze.raw_rows(Store(t.spark, t.landed).change())["order_items"].drop(readers.FILE_ORDER),
+    # after a later delivery of orders
+    "upsert_fact_orders": _updated("fact_orders"),
+    **{f"refresh_{name}": _updated(name) for name in jobs.MARTS},
 }
 
 
@@ -324,7 +384,9 @@ _tables: WeakKeyDictionary[SparkSession, dict[str, Tables]] = WeakKeyDictionary(
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """The tables of a session and folder. They are plans, not data: only the analysis is shared."""
+    """The tables of a session and folder. Most are plans, of which only the analysis is shared. The stores behind the
+    ``stored_``, ``landed_``, ``upsert_`` and ``refresh_`` queries are written once per session and folder; these queries
+    read them."""
     by_folder = _tables.setdefault(spark, {})
     if sf_dir not in by_folder:
         by_folder[sf_dir] = Tables(spark, sf_dir)

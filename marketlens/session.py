@@ -16,17 +16,12 @@ SCALE_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-# Beyond this the blocks of map and reduce tasks become too many and too small to fetch well.
-MAX_SHUFFLE_PARTITIONS = 100_000
-
 
 def build_session(app: str = "marketlens", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master is not None:
         builder = builder.master(master)
         if master.startswith("local"):
-            # On one machine a shuffle is never remote, so reading it by mapper only costs parallelism.
-            conf = {"spark.sql.adaptive.localShuffleReader.enabled": "false", **conf}
             builder = builder.config("spark.driver.host", "127.0.0.1").config(
                 "spark.driver.bindAddress", "127.0.0.1"
             )
@@ -46,9 +41,9 @@ def size_shuffles(spark: SparkSession, input_gb: float, partition_mb: int = 256)
     """Enough shuffle partitions that one holds about ``partition_mb`` of an input of ``input_gb``.
 
     The default of 200 would make partitions of 500 GB out of 100 TB. Asking for too many is harmless:
-    Spark merges small ones at run time. Never lowers a setting.
+    Spark merges small ones at run time. Never lowers a setting. A larger ``partition_mb`` gives fewer, larger blocks.
     """
-    wanted = min(int(input_gb * 1024 / partition_mb) + 1, MAX_SHUFFLE_PARTITIONS)
+    wanted = int(input_gb * 1024 / partition_mb) + 1
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if wanted > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))

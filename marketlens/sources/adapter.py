@@ -132,3 +132,71 @@ def sellers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             .alias("seller_name"),
         )
     )
+
+
+# --- the same sources as CSV files, and a later delivery of orders ------------------------------------
+
+
+def raw_lines(spark: SparkSession, sf_dir: str) -> list[tuple[str, str, DataFrame]]:
+    """(source, header, lines) of raw files with values that cannot be read.
+
+    Items come under two headers. By fixed arithmetic on the keys, numbers are words, infinite, NaN or fractions of
+    whole numbers, and lines have too few or too many fields.
+    """
+
+    def line(*values) -> F.Column:
+        return F.array_join(F.array(*[F.coalesce(v.cast("string"), F.lit("")) for v in values]), ",")
+
+    items = items_raw(spark, sf_dir).filter("order_item_id IS NOT NULL")
+    order, number, product = (F.col(c) for c in ("order_id", "order_item_id", "product_id"))
+    price = (
+        F.when(order % 97 == 11, "n/a").when(order % 89 == 7, "1e999").when(order % 83 == 3, "NaN").otherwise(F.col("price").cast("string"))
+    )
+    freight = F.col("freight_value")
+    whole = line(order, number, product, price, freight)
+    odd_line = (number == 1) & (order % 2 == 0)
+    first = F.when(odd_line & (order % 51 == 9), line(order, number)).when(
+        odd_line & (order % 53 == 9), line(order, number, product, F.lit("1.5"), F.lit("2.5"), F.lit("extra"))
+    )
+    customers = customers_raw(spark, sf_dir)
+    key = F.col("customer_id")
+    zip_code = F.when(key % 77 == 3, "unknown").otherwise(F.col("customer_zip_code_prefix").cast("string"))
+    orders = orders_raw(spark, sf_dir)
+    promised = F.when(order % 71 == 5, "soon").otherwise(F.col("promised_time_days").cast("string"))
+    products = products_raw(spark, sf_dir)
+    length = F.when(product % 61 == 4, "12.5").otherwise(F.col("product_name_length").cast("string"))
+    names = {df: df.columns for df in (customers, orders, products)}
+    return [
+        ("order_items", "order_id,order_item_id,product_id,price,freight_value", items.filter(order % 2 == 0).select(F.coalesce(first, whole).alias("line"))),
+        ("order_items", "product_id,order_id,order_item_id,freight_value,price", items.filter(order % 2 == 1).select(line(product, order, number, freight, price).alias("line"))),
+        ("customers", ",".join(names[customers]), customers.select(line(key, F.col("customer_unique_id"), zip_code, F.col("customer_city"), F.col("customer_state")).alias("line"))),
+        ("orders", ",".join(names[orders]), orders.select(line(*[F.col(c) for c in names[orders][:-1]], promised).alias("line"))),
+        ("products", ",".join(names[products]), products.select(line(product, F.col("product_category_name"), length).alias("line"))),
+    ]
+
+
+def write_raw_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The raw files of ``raw_lines`` as ``<folder>/<source>.csv``, a folder of files with a header each. No sellers."""
+    plain = {"header": True, "sep": "\u0001", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    for source, header, lines in raw_lines(spark, sf_dir):
+        lines.select(F.col("line").alias(header)).write.mode("append").options(**plain).csv(f"{folder}/{source}.csv")
+
+
+def orders_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later delivery: every tenth order was delivered and moved by 40 days, every twentieth has a new order beside it."""
+    orders = _table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    bought = F.col("o_orderdate") + F.make_dt_interval(days=F.lit(40))
+
+    def delivery(order_id) -> list:
+        return [
+            order_id.alias("order_id"),
+            F.col("o_custkey").alias("customer_id"),
+            F.lit("Delivered").alias("order_status"),
+            bought.cast("string").alias("order_purchase_timestamp"),
+            (bought + F.make_dt_interval(days=F.lit(5))).cast("string").alias("order_delivered_customer_date"),
+            F.lit(100).alias("promised_time_days"),
+        ]
+
+    changed = orders.filter(key % 10 == 3).select(*delivery(key))
+    return changed.unionByName(orders.filter(key % 20 == 5).select(*delivery(key + 1_000_000_000)))

@@ -54,6 +54,26 @@ RAW_SOURCES = {
     "sellers": SELLERS,
 }
 
+# What tells the rows of a source apart.
+KEYS = {
+    "orders": ["order_id"],
+    "customers": ["customer_id"],
+    "products": ["product_id"],
+    "order_items": ["order_id", "order_item_id"],
+    "sellers": ["seller_id"],
+}
+
+# The columns that the documented star schema declares, with the types the ids have in the test tables.
+DECLARED = {
+    "dim_customers": "customer_id bigint, customer_unique_id bigint, customer_city string, customer_state string",
+    "dim_products": "product_id bigint, product_category_name string, product_name_length int",
+    "dim_geography": "city string, state string",
+    "dim_calendar": "date date, week int, month int, year int",
+    "fact_orders": "order_id bigint, customer_id bigint, order_status string, order_purchase_timestamp timestamp, "
+    "price double, freight_value double, delivery_time_days int",
+    "fact_order_items": "order_id bigint, order_item_id int, product_id bigint, price double, freight_value double",
+}
+
 COHORT_FILE = _struct(
     cohort_month=StringType,
     cohort_size=LongType,

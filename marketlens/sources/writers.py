@@ -8,16 +8,6 @@ from pyspark.sql import functions as F
 from marketlens.sources.readers import CSV, FILE_ORDER
 
 
-def save_stored(df: DataFrame, base: str, name: str, partition_by: list[str] | None = None) -> str:
-    """Replace the parquet table ``base/name``."""
-    path = f"{base.rstrip('/')}/{name}"
-    writer = df.drop(FILE_ORDER).write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return path
-
-
 def save_catalog_table(
     df: DataFrame, table: str, bucket_by: str | None = None, buckets: int = 0
 ) -> None:

@@ -8,7 +8,8 @@ from pyspark.errors import AnalysisException
 
 from marketlens import jobs
 from marketlens.session import size_shuffles, work_dir
-from marketlens.sources import readers, schemas, writers
+from marketlens.sources import bronze, readers, schemas, writers
+from marketlens.sources.store import Store
 
 FILES = {
     # Columns in another order than the schema, and one the schema does not know.
@@ -128,18 +129,18 @@ def test_all_jobs(spark, raw, tmp_path):
     store, reports = str(tmp_path / "store"), str(tmp_path / "reports")
     jobs.main(["all", "--raw", str(raw), "--store", store, "--reports", reports])
 
-    orders = {r.order_id: r for r in spark.read.parquet(f"{store}/fact_orders").collect()}
+    orders = {r.order_id: r for r in readers.read_stored(spark, store, "fact_orders").collect()}
     # o4 has no customer; o1 keeps its first row in the file although another sorts before it.
     assert sorted(orders) == ["o1", "o2", "o3", "o5"]
     assert (orders["o1"].order_status, orders["o1"].channel) == ("delivered", "web")
     assert orders["o1"].delivery_time_days == 9
-    customers = spark.read.parquet(f"{store}/dim_customers")
+    customers = readers.read_stored(spark, store, "dim_customers")
     assert sorted(r.customer_id for r in customers.collect()) == ["c1", "c2", "c3"]
     assert readers.FILE_ORDER not in customers.columns
-    assert not pathlib.Path(f"{store}/dim_sellers").exists()
-    items = spark.read.parquet(f"{store}/fact_order_items")
+    assert "dim_sellers" not in Store(spark, store).tables()
+    items = readers.read_stored(spark, store, "fact_order_items")
     assert items.count() == 5
-    daily = spark.read.parquet(f"{store}/mart_daily_category").collect()
+    daily = readers.read_stored(spark, store, "mart_daily_category").collect()
     assert {r.order_month.isoformat() for r in daily} == {"2018-01-01", "2018-02-01"}
 
     assert lines(f"{reports}/dedup_report") == [
@@ -170,13 +171,25 @@ def test_all_jobs(spark, raw, tmp_path):
     assert sorted(tuple(r)[:2] for r in persons.collect()) == [("2018-01", 1), ("2018-02", 1)]
     # Too few orders per city and category: nothing is published.
     assert not pathlib.Path(f"{reports}/sla_city_category").exists()
-    assert spark.read.parquet(f"{store}/rfm_segments").count() == 3
+    assert readers.read_stored(spark, store, "rfm_segments").count() == 3
+
+    rules = spark.read.option("header", True).csv(f"{reports}/item_rules").first()
+    assert tuple(rules) == ("7", "1", "1", "5")
+    audit = {(r.stage, r.table_name): (int(r.n_rows), int(r.n_columns)) for r in spark.read.option("header", True).csv(f"{reports}/audit").collect()}
+    assert audit["bronze", "bronze_orders"] == (6, 7) and audit["silver", "fact_orders"] == (4, 8)
+    assert readers.read_stored(spark, store, "rejected_orders").select("order_id", "rule").collect() == [("o4", "unknown_customer")]
+    rejected = readers.read_stored(spark, store, "rejected_items").select("order_item_id", "rule").collect()
+    assert sorted(map(tuple, rejected)) == [(1, "price"), (2, "freight_value")]
+    matrix = spark.read.option("header", True).csv(f"{reports}/cohort_matrix")
+    assert matrix.columns == ["cohort_month", "m0"] and matrix.count() == 2
+    quality = {r.check_name: r.passed for r in spark.read.option("header", True).csv(f"{reports}/quality").collect()}
+    assert quality["fk_customer"] == "true" and quality["pk_order_id"] == "true"
 
     # A second run replaces all tables.
     (raw / "sellers.csv").write_text("seller_id\ns1\ns1\n")
     jobs.main(["etl", "--raw", str(raw), "--store", store])
-    assert spark.read.parquet(f"{store}/fact_orders").count() == 4
-    assert spark.read.parquet(f"{store}/dim_sellers").count() == 1
+    assert readers.read_stored(spark, store, "fact_orders").count() == 4
+    assert readers.read_stored(spark, store, "dim_sellers").count() == 1
 
 
 def test_empty_tables_fail(spark):
@@ -219,6 +232,52 @@ def test_shuffles_follow_the_input_size(spark):
         assert size_shuffles(spark, 0.001) == int(saved)
         assert size_shuffles(spark, 1024) == 4097
         assert spark.conf.get("spark.sql.shuffle.partitions") == "4097"
-        assert size_shuffles(spark, 100 * 1024) == 100_000
+        assert size_shuffles(spark, 100 * 1024) == 409_601
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", saved)
+
+
+def test_raw_files_are_read_once(spark, raw, tmp_path, monkeypatch):
+    """Every raw file has one scan, at landing; all later jobs work without the raw folder."""
+    store, reports = str(tmp_path / "store"), str(tmp_path / "reports")
+    scanned = []
+    whole = readers._scan
+    monkeypatch.setattr(readers, "_scan", lambda *a: scanned.extend(a[2]) or whole(*a))
+    land = jobs.land_raw
+
+    def land_and_hide(*given):
+        land(*given)
+        raw.rename(tmp_path / "gone")
+
+    monkeypatch.setattr(jobs, "land_raw", land_and_hide)
+    jobs.main(["all", "--raw", str(raw), "--store", store, "--reports", reports])
+    assert sorted(path.rsplit("/", 1)[1] for path in scanned) == sorted(f"{name}.csv" for name in FILES)
+    assert readers.read_stored(spark, store, "fact_orders").count() == 4
+
+
+def test_job_options(spark, raw, tmp_path):
+    store, reports = str(tmp_path / "store"), str(tmp_path / "reports")
+    (raw / "order_items.csv").write_text(FILES["order_items"] + "o1,1,p1,70,1\no1,1,p1,70,1\n")
+    (raw / "orders.csv").write_text(FILES["orders"] + "lost,o6,c3,2018-02-04 10:00:00,,20,web\n")
+    options = ["--drop-repeated-items", "--strict-status", "--undelivered", "null", "--late-days", "5", "--top-n", "1", "--median-accuracy", "1000"]
+    jobs.main(["all", "--raw", str(raw), "--store", store, "--reports", reports, *options])
+    items = readers.read_stored(spark, store, "fact_order_items")
+    assert items.filter("order_id = 'o1'").count() == 2 and items.filter("price = 70").count() == 0
+    assert readers.read_stored(spark, store, "rejected_items").filter("rule = 'repeated_item'").count() == 2
+    orders = {r.order_id: r for r in readers.read_stored(spark, store, "fact_orders").collect()}
+    assert orders["o6"].order_status == "unknown" and orders["o2"].delivery_time_days is None
+    assert spark.read.option("header", True).csv(f"{reports}/top_categories").count() == 1
+    line = readers.read_stored(spark, store, "stage_sales_lines").filter("order_id = 'o1'").first()
+    assert line.late == 1  # nine days
+
+
+def test_empty_sources(spark, raw, tmp_path):
+    """Files with a header only: tables without rows, and a failure that names them."""
+    for name, content in FILES.items():
+        (raw / f"{name}.csv").write_text(content.splitlines()[0] + "\n")
+    store = str(tmp_path / "store")
+    jobs.main(["etl", "--raw", str(raw), "--store", store])
+    assert readers.read_stored(spark, store, "fact_orders").count() == 0
+    assert readers.read_stored(spark, store, "rejected_items").columns[-1] == "rule"
+    with pytest.raises(ValueError, match="fact_orders"):
+        jobs.require_rows(jobs.observed_audit(spark, store))
