@@ -4,10 +4,10 @@ The global order of the shingles is that of their hashes. It is cut into fragmen
 segment. Everything works on fragments:
 
 * Candidates. Two sets with n and m shingles reach a similarity of p/q only if at most t = (n + m)(q - p)/(q + p) shingles
-  are in one of them alone. With t + 2 fragments at least two segments are equal. So documents that share no segment are
-  never compared. The number of fragments follows from the size class of the larger set; a set can only be similar to
-  sets of its own and the two neighbouring classes, so every document is cut for its own class and the next. Should
-  equal segments be empty, both sets have two empty ones; only such sets also meet by their empty segments.
+  are in one of them alone. With t + 3 fragments at least three segments are equal. So documents that share no segment
+  are never compared. The number of fragments follows from the size class of the larger set. A set is cut for its own
+  class, and for the next one if it can be similar to a set of that. Should all equal segments be empty, both sets have
+  three empty ones; only such sets also meet by their empty segments.
 * Overlaps. A pair's overlap is counted per fragment, apart from each other, and the counts are summed per pair. A task
   holds two segments of a pair, never two documents.
 
@@ -37,12 +37,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.llm.common import _BYTE_VALUE, in_runs, mixed, slices, staged, table, text_bytes
-from marketlens.llm.near_dedup import components
+from marketlens.llm.links import components, delta_pairs, with_pivots
 from marketlens.llm.pieces import windows, words_between
 
 SIZE, NUMERATOR, DENOMINATOR = 3, 9, 10
-# Deltas are of one class if their sizes are between two neighbouring powers of this.
-DELTA_STEP = 1.25
+# How many segments of similar sets are equal at least.
+EQUAL = 3
+# Up to so many documents that share a segment, their keys (some tens of MB) are broadcast to the scan of the texts; beyond, the
+# texts are shuffled once.
+BROADCAST_KEYS = 1_000_000
 # Bytes of a word that are hashed in one step.
 STRETCH = 1 << 16
 _IN_WORD = np.ones(256, bool)
@@ -105,13 +108,22 @@ def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
 def size_classes(p: int, q: int) -> tuple[np.ndarray, np.ndarray]:
     """The smallest size of every class, and into how many fragments sets are cut for it (0: only equal sets are similar).
 
-    A class ends before the first size that cannot be similar to its smallest one.
+    A class reaches at least up to the largest size that can be similar to its smallest one, so similar sets are of one
+    class or of neighbouring ones.
     """
     least = [1]
     while least[-1] < 1 << 40:
-        least.append(least[-1] * q // p + 1)
+        least.append(max(least[-1] * q // p, least[-1] * 3 // 2) + 1)
     t = 2 * (np.array(least[1:], np.int64) - 1) * (q - p) // (q + p)
-    return np.array(least[:-1], np.int64), np.where(t > 0, t + 2, 0)
+    return np.array(least[:-1], np.int64), np.where(t > 0, t + EQUAL, 0)
+
+
+def cuts_of(n: np.ndarray, p: int, q: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The class of every set size, and into how many fragments it is cut for that class and for the next (0: not at all)."""
+    least, fragments = size_classes(p, q)
+    kind = np.searchsorted(least, n, "right") - 1
+    reaches = (n > 0) & (n * q // p >= least[kind + 1])
+    return kind, [np.where(n > 0, fragments[kind], 0), np.where(reaches, fragments[kind + 1], 0)]
 
 
 def fragment_of(shingle: np.ndarray, fragments: np.ndarray) -> np.ndarray:
@@ -126,174 +138,166 @@ def set_names(shingle: np.ndarray, text: np.ndarray, texts: int) -> np.ndarray:
     return same.view(np.int64)
 
 
-def segment_names(shingle: np.ndarray, text: np.ndarray, kind: np.ndarray, fragments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of every segment of every text, with class and fragment, and its text number. ``kind``: class per text."""
-    cut = fragments[kind][text]
-    there = cut > 0
-    shingle, text, cut = shingle[there], text[there], cut[there]
-    fragment = fragment_of(shingle, cut)
+def segment_names(
+    shingle: np.ndarray, text: np.ndarray, cut: np.ndarray, fragments: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A hash of every segment of every text, with class and fragment, and its text number; and how many are empty per text.
+
+    ``cut``: the class that each text is cut for; ``fragments``: into how many.
+    """
+    there = fragments[text] > 0
+    shingle, text = shingle[there], text[there]
+    fragment = fragment_of(shingle, fragments[text])
     starts = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (fragment[1:] != fragment[:-1])][: len(text)])
     if not len(starts):
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.zeros(len(cut), np.int64)
     owner, fragment = text[starts], fragment[starts]
 
     def place(owner: np.ndarray, fragment: np.ndarray) -> np.ndarray:
-        return mixed((kind[owner].astype(np.uint64) << np.uint64(40)) + fragment.astype(np.uint64) + np.uint64(1))
+        return mixed((cut[owner].astype(np.uint64) << np.uint64(40)) + fragment.astype(np.uint64) + np.uint64(1))
 
     names = [mixed(np.add.reduceat(mixed(shingle ^ _STEP), starts) + place(owner, fragment))]
     owners = [owner]
-    filled = np.bincount(owner, minlength=len(kind))
-    for t in np.flatnonzero((filled > 0) & (fragments[kind] - filled >= 2)):
-        bare = np.setdiff1d(np.arange(fragments[kind[t]]), fragment[owner == t])
+    empty = np.where(fragments > 0, fragments - np.bincount(owner, minlength=len(cut)), 0)
+    for t in np.flatnonzero(empty >= EQUAL):
+        bare = np.setdiff1d(np.arange(fragments[t]), fragment[owner == t])
         owners.append(np.full(len(bare), t))
         names.append(mixed(place(owners[-1], bare) ^ _STEP))
-    return np.concatenate(names), np.concatenate(owners)
+    return np.concatenate(names), np.concatenate(owners), empty
 
 
 def sketches(docs: DataFrame, size: int, p: int, q: int) -> DataFrame:
-    """Per row: key, low, high (together the name of its set), n, kind (size class), segments (names)."""
+    """Per row: key, low, high (together the name of its set), n, kind (size class), empty (how many of its segments are, at
+    most, in one way of cutting), segments (names)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        least, fragments = size_classes(p, q)
         for batch in slices(batches):
             shingle, text = shingle_sets(batch.column("text"), size)
             n = np.bincount(text, minlength=batch.num_rows)
-            kind = np.searchsorted(least, n, "right") - 1
+            kind, fragments = cuts_of(n, p, q)
             low, high = set_names(shingle, text, batch.num_rows)
-            found = [segment_names(shingle, text, kind + k, fragments) for k in (0, 1)]
-            name, owner = (np.concatenate(x) for x in zip(*found, strict=True))
+            found = [segment_names(shingle, text, kind + k, fragments[k]) for k in (0, 1)]
+            name, owner = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+            empty = np.maximum(found[0][2], found[1][2])
             order = np.argsort(owner, kind="stable")
             ends = np.searchsorted(owner[order], np.arange(batch.num_rows + 1))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(name[order].view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(low), pa.array(high), pa.array(n, pa.int64()), pa.array(kind, pa.int32()), lists],
-                ["key", "low", "high", "n", "kind", "segments"],
+                [batch.column("key"), pa.array(low), pa.array(high), pa.array(n, pa.int64()), pa.array(kind, pa.int32()), pa.array(empty, pa.int32()), lists],
+                ["key", "low", "high", "n", "kind", "empty", "segments"],
             )
 
-    return docs.mapInArrow(run, "key long, low long, high long, n long, kind int, segments array<long>")
+    return docs.mapInArrow(run, "key long, low long, high long, n long, kind int, empty int, segments array<long>")
 
 
 def segments(docs: DataFrame, size: int, p: int, q: int) -> DataFrame:
-    """low, high, n, cut (the class that it is cut for), fragment, items: all segments of all rows, empty ones too."""
+    """id, cut (the class that it is cut for), fragment, items: all segments, empty ones too, of rows id, low, high, text.
+
+    Rows whose text has another set than that of the name low, high are left out: another row has their key.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        least, fragments = size_classes(p, q)
         for batch in slices(batches):
             shingle, text = shingle_sets(batch.column("text"), size)
+            ids, *wanted = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "low", "high"))
+            right = (set_names(shingle, text, batch.num_rows) == np.stack(wanted)).all(axis=0)
             n = np.bincount(text, minlength=batch.num_rows)
-            low, high = set_names(shingle, text, batch.num_rows)
+            kind, fragments = cuts_of(n, p, q)
             for k in (0, 1):
-                cut = np.searchsorted(least, n, "right") - 1 + k
-                pieces = np.where(n > 0, fragments[cut], 0)
+                pieces = np.where(right, fragments[k], 0)
                 owner, fragment = np.repeat(np.arange(len(n)), pieces), in_runs(pieces)
-                place = (np.cumsum(pieces) - pieces)[text] + fragment_of(shingle, pieces[text])
                 there = pieces[text] > 0
+                place = (np.cumsum(pieces) - pieces)[text] + fragment_of(shingle, pieces[text])
                 ends = np.searchsorted(place[there], np.arange(len(owner) + 1))
                 items = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(shingle[there].view(np.int64)))
-                columns = [low[owner], high[owner], n[owner], cut[owner].astype(np.int32), fragment.astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), items], ["low", "high", "n", "cut", "fragment", "items"])
+                columns = [ids[owner], (kind + k)[owner].astype(np.int32), fragment.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), items], ["id", "cut", "fragment", "items"])
 
-    return docs.mapInArrow(run, "low long, high long, n long, cut int, fragment int, items array<long>")
+    return docs.mapInArrow(run, "id long, cut int, fragment int, items array<long>")
 
 
-def side_by_side(pairs: DataFrame, cut: DataFrame) -> DataFrame:
-    """Pairs a, b, cut: one row per pair and fragment with both segments (of_a, of_b)."""
+def differences(pairs: DataFrame, cut: DataFrame) -> DataFrame:
+    """Pairs a, b, cut: per pair and fragment a, b, part (how many shingles both have), items (those that one has alone)."""
     a = cut.select(F.col("id").alias("a"), "cut", "fragment", F.col("items").alias("of_a"))
     b = cut.select(F.col("id").alias("b"), "cut", "fragment", F.col("items").alias("of_b"))
-    return pairs.join(a, ["a", "cut"]).join(b, ["b", "cut", "fragment"])
-
-
-def overlaps(pairs: DataFrame, cut: DataFrame) -> DataFrame:
-    """a, b, overlap: counted per fragment, then summed per pair."""
-    part = F.when(F.col("of_a") == F.col("of_b"), F.size("of_a")).otherwise(F.size(F.array_intersect("of_a", "of_b")))
-    parts = side_by_side(pairs, cut).select("a", "b", part.alias("part"))
-    return parts.groupBy("a", "b").agg(F.sum("part").alias("overlap"))
+    met = pairs.select("a", "b", "cut").join(a, ["a", "cut"]).join(b, ["b", "cut", "fragment"])
+    alone = F.concat(F.array_except("of_a", "of_b"), F.array_except("of_b", "of_a"))
+    items = F.when(F.col("of_a") != F.col("of_b"), alone).otherwise(F.array().cast("array<long>"))
+    rows = met.select("a", "b", F.size("of_a").alias("s"), F.size("of_b").alias("t"), items.alias("items"))
+    return rows.select("a", "b", ((F.col("s") + F.col("t") - F.size("items")) / 2).cast("int").alias("part"), "items")
 
 
 def similar(overlap: Column, n: Column, m: Column, p: int, q: int) -> Column:
     return q * overlap >= p * (n + m - overlap)
 
 
-def with_pivots(sets: DataFrame) -> DataFrame:
-    """segment, id, n, kind, pivot (id, n, kind): the sets that share a segment with another one, and its pivot."""
-    rows = sets.select("id", "n", "kind", F.explode("segments").alias("segment"))
-    shared = rows.groupBy("segment").agg(F.count("*").alias("holders")).filter("holders > 1")
-    met = staged(rows.join(shared, "segment"), "shared-segments")
-    central = met.groupBy("id").agg(F.sum("holders").alias("weight"))
-    order = F.struct("weight", F.xxhash64("id"))
-    pivots = met.join(central, "id").groupBy("segment").agg(F.max_by(F.struct("id", "n", "kind"), order).alias("pivot"))
-    return staged(met.drop("holders").join(pivots, "segment"), "pivots")
+def sized_pairs(pairs: DataFrame, sharing: DataFrame) -> DataFrame:
+    """Pairs a, b with n and m (sizes), cut, and likely: whether as many segments are equal as in similar sets.
 
+    ``sharing``: id, n, kind, empty, segments (those that others have too) of the sets that share any.
+    """
+    a = sharing.select(F.col("id").alias("a"), "n", F.col("kind").alias("i"), F.col("empty").alias("e"), F.col("segments").alias("of_a"))
+    b = sharing.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("kind").alias("j"), F.col("empty").alias("f"), F.col("segments").alias("of_b"))
+    equal = F.size(F.array_intersect("of_a", "of_b")) + F.least("e", "f")
+    rows = pairs.join(a, "a").join(b, "b")
+    return staged(rows.select("a", "b", "n", "m", F.greatest("i", "j").alias("cut"), (equal >= EQUAL).alias("likely")), "pairs")
 
-def delta_pairs(deltas: DataFrame, p: int, q: int) -> DataFrame:
-    """Pairs a < b of different roots that may be similar, of rows pivot, id, root, n, delta (its size), item.
 
-    Each set's items are in one order: those of no other set around the pivot, then the others, rare ones first. If the
-    first item that two deltas share is the ``left``-last of each, they share ``left`` at most, and have to share half
-    of what their sizes exceed the allowed difference by. That bounds the deltas' sizes that an item can serve for.
-    """
-    counts = deltas.groupBy("pivot", "item").agg(F.count("*").alias("holders"), (F.min("root") != F.max("root")).alias("mixed"))
-    counts = counts.filter("mixed").drop("mixed")
-    who = ["pivot", "id", "root", "n", "delta"]
-    ranked = deltas.join(counts, ["pivot", "item"]).groupBy(*who).agg(F.sort_array(F.collect_list(F.struct("holders", "item"))).alias("ranked"))
-    rows = ranked.select(*who, F.size("ranked").alias("of"), F.posexplode("ranked").alias("at", "e"))
-    rows = rows.select(*who, F.col("e.item").alias("item"), (F.col("of") - F.col("at")).alias("left"))
-    allowed = F.floor(F.col("n") * (q - p) / p)
-    least, most = F.greatest(F.col("delta") - allowed, F.lit(1)), 2 * F.col("left") - F.col("delta") + allowed
-    rows = rows.withColumns({"least": least, "most": most}).filter("most >= least")
-
-    def size_class(size: Column) -> Column:
-        return F.floor(F.log(size) / float(np.log(DELTA_STEP)))
-
-    rows = rows.withColumns({"own": size_class(F.col("delta")), "other": F.explode(F.sequence(size_class(F.col("least")), size_class(F.col("most"))))})
-    key = ["pivot", "item", "small", "large"]
-    rows = rows.withColumns({"small": F.least("own", "other"), "large": F.greatest("own", "other")})
-    rows = staged(rows.select(*key, "own", F.struct("id", "root", "n", "delta", "left").alias("set")), "delta-prefixes")
-    x = rows.filter("own = small").select(*key, F.col("set").alias("x"))
-    y = rows.filter("own = large").select(*key, F.col("set").alias("y"))
-    apart = F.floor((F.col("x.n") + F.col("y.n")) * (q - p) / (q + p))
-    enough = 2 * F.least("x.left", "y.left") >= F.col("x.delta") + F.col("y.delta") - apart
-    sizes = q * F.least("x.n", "y.n") >= p * F.greatest("x.n", "y.n")
-    met = x.join(y, key).filter((F.col("x.root") != F.col("y.root")) & sizes & enough)
-    return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-
-
-def remaining_pairs(met: DataFrame, compared: DataFrame, roots: DataFrame, cut: DataFrame, p: int, q: int) -> DataFrame:
-    """Pairs a < b of sets that share a segment, are of different components and may be similar."""
-    rows = met.join(roots.withColumnRenamed("doc", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+def compared(sized: DataFrame, cut: DataFrame, p: int, q: int) -> tuple[DataFrame, DataFrame]:
+    """Of pairs a, b, n, m, cut: a, b, n, m, overlap, similar; and their differences by fragment."""
+    parts = staged(differences(sized, cut), "differences")
+    overlap = parts.groupBy("a", "b").agg(F.sum("part").alias("overlap"))
+    counted = sized.select("a", "b", "n", "m").join(overlap, ["a", "b"])
+    return staged(counted.withColumn("similar", similar(F.col("overlap"), F.col("n"), F.col("m"), p, q)), "overlaps"), parts
+
+
+def remaining_pairs(
+    met: DataFrame, sized: DataFrame, found: tuple[DataFrame, DataFrame], roots: DataFrame, cut: DataFrame, p: int, q: int
+) -> DataFrame:
+    """Pairs a < b of sets that share a segment, are of different components and may be similar. ``found``: the likely pairs
+    of a set and its pivot, compared. Neither set is the pivot, so a segment matters if other sets than it are of several."""
+    rows = met.filter("id != pivot").join(roots.withColumnRenamed("doc", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     mixed_ones = rows.groupBy("segment").agg((F.min("root") != F.max("root")).alias("mixed")).filter("mixed").select("segment")
-    around = rows.join(mixed_ones, "segment").filter("id != pivot.id")
-    around = around.select(F.col("id").alias("a"), F.col("pivot.id").alias("b"), "root").distinct().join(compared, ["a", "b"])
-    around = staged(around.withColumn("delta", F.col("n") + F.col("m") - 2 * F.col("overlap")), "mixed")
-    differing = side_by_side(around, cut).filter("of_a != of_b")
-    items = F.concat(F.array_except("of_a", "of_b"), F.array_except("of_b", "of_a"))
-    deltas = differing.select(F.col("b").alias("pivot"), F.col("a").alias("id"), "root", "n", "delta", F.explode(items).alias("item"))
+    around = rows.join(mixed_ones, "segment").select(F.col("id").alias("a"), F.col("pivot").alias("b"), "root").distinct()
+    around = staged(around, "mixed")
+    others = sized.filter("NOT likely").join(around, ["a", "b"], "left_semi")
+    more, more_parts = compared(staged(others, "pairs"), cut, p, q)
+    known = found[0].unionByName(more).select("a", "b", "n", (F.col("n") + F.col("m") - 2 * F.col("overlap")).alias("delta"))
+    around = staged(around.join(known, ["a", "b"]), "mixed")
+    differing = found[1].unionByName(more_parts).filter("size(items) > 0").join(around, ["a", "b"])
+    deltas = differing.select(F.col("b").alias("pivot"), F.col("a").alias("id"), "root", "n", "delta", F.explode("items").alias("item"))
     return delta_pairs(staged(deltas, "deltas"), p, q)
 
 
+def texts_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """id, low, high, text of the rows that have the keys of the needed sets."""
+    wanted = needed.select("id", "low", "high", "smallest")
+    if needed.count() <= BROADCAST_KEYS:
+        wanted = F.broadcast(wanted)
+    return docs.join(wanted, F.col("key").eqNullSafe(F.col("smallest"))).select("id", "low", "high", "text")
+
+
 def similar_sets(sets: DataFrame, docs: DataFrame, size: int, p: int, q: int) -> DataFrame | None:
     """doc, root of the sets that are linked with others; None if there are none."""
-    met = with_pivots(sets)
-    needed = sets.join(met.select("id").distinct(), "id", "left_semi").select("id", "low", "high", "n", "kind", "smallest")
-    needed = staged(needed, "compared-sets")
-    texts = docs.join(needed.select("smallest").distinct(), F.col("key").eqNullSafe(F.col("smallest")), "left_semi")
-    cut = segments(texts, size, p, q).join(needed.select("id", "low", "high", "n"), ["low", "high", "n"])
-    # Rows with equal keys and texts give the same segments.
-    cut = staged(cut.select("id", "cut", "fragment", "items").dropDuplicates(["id", "cut", "fragment"]), "segments")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """a, b, overlap, cut, n and m (sizes), similar; of pairs a, b."""
-        a = needed.select(F.col("id").alias("a"), "n", F.col("kind").alias("kind_a"))
-        b = needed.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("kind").alias("kind_b"))
-        sized = pairs.join(a, "a").join(b, "b").select("a", "b", "n", "m", F.greatest("kind_a", "kind_b").alias("cut"))
-        sized = staged(sized, "pairs")
-        counted = sized.join(overlaps(sized, cut), ["a", "b"])
-        return staged(counted.withColumn("similar", similar(F.col("overlap"), F.col("n"), F.col("m"), p, q)), "overlaps")
-
-    compared = verified(met.filter("id != pivot.id").select(F.col("id").alias("a"), F.col("pivot.id").alias("b")).distinct())
-    links = compared.filter("similar").select("a", "b")
+    met = with_pivots(sets.select("id", F.explode("segments").alias("segment")))
+    lists = met.groupBy("id").agg(F.collect_list("segment").alias("segments"))
+    sharing = staged(sets.select("id", "low", "high", "smallest", "n", "kind", "empty").join(lists, "id"), "sharing-sets")
+    sized = sized_pairs(met.filter("id != pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct(), sharing)
+    # The sets of likely pairs, and of segments that more than two sets have.
+    ends = sized.filter("likely").select(F.explode(F.array("a", "b")).alias("id"))
+    several = met.groupBy("segment").agg(F.count("*").alias("holders")).filter("holders > 2").select("segment")
+    ends = ends.unionByName(met.join(several, "segment").select("id")).distinct()
+    needed = staged(sharing.join(ends, "id", "left_semi").select("id", "low", "high", "smallest"), "compared-sets")
+    cut = staged(segments(texts_of(docs, needed), size, p, q), "segments")
+    names = cut.filter("fragment = 0").groupBy("id", "cut").agg(F.count("*").alias("times"))
+    if not names.filter("times > 1").isEmpty():  # rows with equal keys and texts
+        cut = staged(cut.dropDuplicates(["id", "cut", "fragment"]), "segments")
+
+    found = compared(staged(sized.filter("likely"), "pairs"), cut, p, q)
+    links = found[0].filter("similar").select("a", "b")
     roots = staged(components(links), "components") if not links.isEmpty() else sets.select(F.col("id").alias("doc"), F.col("id").alias("root")).limit(0)
-    rest = verified(remaining_pairs(met, compared, roots, cut, p, q)).filter("similar").select("a", "b")
+    rest = remaining_pairs(met, sized, found, roots, cut, p, q)
+    rest = compared(sized_pairs(rest, sharing), cut, p, q)[0].filter("similar").select("a", "b")
     if not rest.isEmpty():
         known = roots.filter("doc != root").select(F.col("doc").alias("a"), F.col("root").alias("b"))
         return staged(components(known.unionByName(rest)), "components")
@@ -307,7 +311,7 @@ def jaccard_components(
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     drawn = staged(sketches(rows, size, p, q), "sketches")
     name = ["low", "high", "n"]
-    groups = drawn.filter("n > 0").groupBy(*name).agg(F.min("key").alias("smallest"), F.first("kind").alias("kind"), F.first("segments").alias("segments"))
+    groups = drawn.filter("n > 0").groupBy(*name).agg(F.min("key").alias("smallest"), *[F.first(c).alias(c) for c in ("kind", "empty", "segments")])
     sets = staged(groups.withColumn("id", F.monotonically_increasing_id()), "sets")
     roots = similar_sets(sets, rows, size, p, q)
     named = sets.select("id", *name, "smallest")
