@@ -6,12 +6,12 @@ remembers the shingle that came first; a process ends when it is later than all
 register with the probability that is the probability Jaccard similarity of their weighted sets. All weights are 1,
 however often a shingle is repeated, so that is the Jaccard similarity of the sets, by which pairs are verified.
 
-The registers form ``BANDS`` bands. Documents that agree in a whole band share a bucket (in two bands, a finer one); at a similarity of 0.8 two
-documents share none with a probability of 5e-8. Documents are not paired within buckets: each is compared with a pivot
-of its buckets, exactly, by the Jaccard similarity of both shingle sets. Linked documents form classes. Rounds with
-other pivots follow for the buckets in which several classes meet, until a round links none of them. What such buckets
-still hold is finished exactly (``remaining_pairs``): all pairs of their documents that can be similar enough and are of
-different classes are verified. Documents with equal shingle sets are one document in all of this, so copies cost nothing.
+The registers form ``BANDS`` bands. Documents that agree in a whole band share a bucket; at a similarity of 0.8 two
+documents share none with a probability of 5e-8. Documents are not paired within buckets: each is compared with the pivot
+of its buckets, exactly, by the Jaccard similarity of both shingle sets. Linked documents form classes. In buckets in which
+several classes meet, pairs of different classes remain; those that can be similar enough are found by what their sets do
+not share with the pivot (``remaining_pairs``), and are verified. The shingles that a whole family of documents shares
+bring no pairs about. Documents with equal shingle sets are one document in all of this, so copies cost nothing.
 
 Words: A-Z lower-cased, runs of ASCII letters, digits and all characters beyond ASCII. A text of fewer words is one
 shingle; a text without words (null and empty ones too) is compared as a whole, so such texts are in one class if they
@@ -22,6 +22,7 @@ document; rows without a key are in no class (null). Extra columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +32,15 @@ from pyspark.sql import functions as F
 from marketlens.llm.common import (
     SpanHash, distinct_items, mixed, random_table, slices, staged, table, text_bytes, word_hashes,
 )
+from marketlens.llm.links import components, delta_pairs, with_pivots
 
 SHINGLE, SIMILARITY = 5, 0.8
 REGISTERS, BANDS = 128, 32
-# Set sizes are of one size class if they are between two neighbouring powers of this.
-SIZE_STEP = 1.05
+# A document is far from a pivot if they differ by more than so many times the pivot's shingles.
+FAR = 0.5
+# Up to so many documents that share a bucket, their keys (some tens of MB) are broadcast to the scan of the texts; beyond,
+# the texts are shuffled once.
+BROADCAST_KEYS = 1_000_000
 _RAW = random_table(5)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -133,109 +138,47 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "doc long, items array<long>")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Of pairs a, b those whose shingle sets are as similar as asked for."""
+def compared(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+    """Of pairs a, b: a, b, n and m (sizes of their sets), overlap, similar."""
     a = sets.select(F.col("doc").alias("a"), F.col("items").alias("of_a"))
     b = sets.select(F.col("doc").alias("b"), F.col("items").alias("of_b"))
-    both = F.size(F.array_intersect("of_a", "of_b"))
-    union = F.size("of_a") + F.size("of_b") - both
-    return pairs.join(a, "a").join(b, "b").filter(both / union >= similarity).select("a", "b")
+    met = pairs.join(a, "a").join(b, "b")
+    rows = met.select("a", "b", F.size("of_a").alias("n"), F.size("of_b").alias("m"), F.size(F.array_intersect("of_a", "of_b")).alias("overlap"))
+    return staged(rows.withColumn("similar", q * F.col("overlap") >= p * (F.col("n") + F.col("m") - F.col("overlap"))), "compared")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """doc, root: the smallest document that it is connected with. Links a, b; documents without links are left out.
+def remaining_pairs(met: DataFrame, found: DataFrame, roots: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+    """Pairs a < b of documents that share a bucket, are of different classes and may be similar.
 
-    Alternates two steps until every document is linked with its root only: every document hands the smallest of its
-    neighbours and itself to its larger neighbours, then to its smaller ones. Each is a minimum per document, joined
-    back to the links.
+    Around the pivot of each bucket in which classes meet, documents are near (they differ from it by few shingles) or
+    far. The zones overlap by more than similar documents can differ, so each such pair is in one of them together. Near
+    ones are told apart by what they do not share with the pivot, far ones by their whole sets. Neither document is the
+    pivot, so a bucket matters if others than it are of several classes.
     """
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v")
-    while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
-        large = staged(large, "links")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        down = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
-        small = large.join(least, "u").select(F.explode(down).alias("e")).select("e.u", "e.v").filter("u != v").distinct()
-        edges = staged(small, "links")
-        ends = edges.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
-            edges.select(F.col("v").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("down"))
-        )
-        if ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up + down > 1 AND up > 0").isEmpty():
-            roots = edges.select(F.col("v").alias("doc"), F.col("v").alias("root")).distinct()
-            return edges.select(F.col("u").alias("doc"), F.col("v").alias("root")).unionByName(roots)
-
-
-def candidate_pairs(shared: DataFrame, classes: DataFrame | None, seed: int, similarity: float) -> DataFrame:
-    """Pairs a < b of a document and a pivot of one of its buckets, where sizes allow the similarity.
-
-    A bucket's pivots are its first and last documents in an order that depends on the round. Before there are classes,
-    a document is compared only with the pivot that it meets in most buckets; afterwards with all pivots of other classes.
-    """
-    if classes is None:
-        rows = shared.withColumn("root", F.col("doc"))
-    else:
-        rows = shared.join(classes, "doc", "left").withColumn("root", F.coalesce("root", "doc"))
-    order = F.xxhash64(F.lit(seed), "doc")
-    me = F.struct("doc", "n", "root")
-    pivots = rows.groupBy("band").agg(
-        F.min_by(me, order).alias("first"), F.max_by(me, order).alias("last"), (F.min("root") != F.max("root")).alias("mixed")
-    )
-    met = rows.join(pivots.filter("mixed").drop("mixed"), "band")
-    met = met.select("doc", "n", "root", F.explode(F.array("first", "last")).alias("pivot"))
-    fits = (F.least("n", "pivot.n") >= similarity * F.greatest("n", "pivot.n")) & (F.col("root") != F.col("pivot.root"))
-    pairs = met.filter(fits).select("doc", F.col("pivot.doc").alias("other"))
-    if classes is None:
-        often = pairs.groupBy("doc", "other").agg(F.count("*").alias("buckets"))
-        pairs = often.groupBy("doc").agg(F.max_by("other", F.struct("buckets", "other")).alias("other"))
-    return pairs.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct()
-
-
-def remaining_pairs(mixed_docs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs a < b of different classes among doc, root: all that are as similar as asked for, and some that are not.
-
-    A prefix filter. Every document's shingles are put in one order: those of one class only (no pair can share them),
-    then the others, rare ones first. If the first shingle that two sets share is at i in one and j in the other, they
-    share min(n - i, m - j) at most, and need s / (1 + s) * (n + m). So a shingle stands only for partners of up to
-    (1 + s) / s * (n - i) - n shingles. Partners meet by shingle and size classes. Classes meet before their documents do.
-    """
-    docs = mixed_docs.join(sets, "doc").select("doc", "root", F.size("items").alias("n"), "items")
-    items = docs.select("doc", "root", F.explode("items").alias("item"))
-    counts = items.groupBy("item").agg(F.count("*").alias("holders"), (F.min("root") != F.max("root")).alias("mixed"))
-    counts = counts.filter("mixed").drop("mixed")
-    ranked = items.join(counts, "item").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("holders", "item"))).alias("ranked"))
-    ranked = docs.drop("items").join(ranked, "doc").select("doc", "root", "n", F.posexplode("ranked").alias("at", "e"), F.size("ranked").alias("of"))
-    # left: how many shingles this one and all later ones are.
-    placed = ranked.select("doc", "root", "n", F.col("e.item").alias("item"), (F.col("of") - F.col("at")).alias("left"))
-    most = (1 + similarity) / similarity * F.col("left") - F.col("n")
-
-    def size_class(n):
-        return F.floor(F.log(n) / float(np.log(SIZE_STEP)))
-
-    low = F.col("n") * (similarity * (1 - 1e-9))
-    placed = placed.withColumn("most", most * (1 + 1e-9)).filter(F.col("most") >= low)
-    placed = placed.withColumn("own", size_class(F.col("n"))).withColumn("partner", F.explode(F.sequence(size_class(low), size_class(F.col("most")))))
-    key = ["item", "small", "large"]
-    placed = placed.withColumns({"small": F.least("own", "partner"), "large": F.greatest("own", "partner")})
-    placed = staged(placed.select("doc", "root", "n", "left", "own", *key), "prefixes")
-
-    def side(size: str, root: str, member: str):
-        rows = placed.filter(F.col("own") == F.col(size))
-        return rows.select(*key, F.col("root").alias(root), F.struct("doc", "n", "left").alias(member))
-
-    x, y = side("small", "x_root", "x"), side("large", "y_root", "y")
-    meet = x.select(*key, "x_root").distinct().join(y.select(*key, "y_root").distinct(), key)
-    meet = meet.filter("x_root != y_root AND (small != large OR x_root < y_root)")
-    needed = (F.col("x.n") + F.col("y.n")) * (similarity / (1 + similarity) * (1 - 1e-9))
-    pairs = meet.join(x, [*key, "x_root"]).join(y, [*key, "y_root"]).filter(F.least("x.left", "y.left") >= needed)
-    return pairs.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
+    rows = met.filter("id != pivot").join(roots.withColumnRenamed("doc", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    mixed_ones = rows.groupBy("segment").agg((F.min("root") != F.max("root")).alias("mixed")).filter("mixed").select("segment")
+    around = rows.join(mixed_ones, "segment")
+    around = around.select(F.col("id").alias("a"), F.col("pivot").alias("b"), "root").distinct().join(found, ["a", "b"])
+    around = staged(around.select("a", "b", "root", "n", "m", (F.col("n") + F.col("m") - 2 * F.col("overlap")).alias("delta")), "mixed")
+    a = sets.select(F.col("doc").alias("a"), F.col("items").alias("of_a"))
+    b = sets.select(F.col("doc").alias("b"), F.col("items").alias("of_b"))
+    # Of two similar sets with one within FAR * m of the pivot, the other is within FAR * m and what both may differ by.
+    reach = FAR + (1 + FAR) * (q - p) / p
+    near = around.filter(F.col("delta") <= reach * F.col("m")).join(a, "a").join(b, "b")
+    items = F.concat(F.array_except("of_a", "of_b"), F.array_except("of_b", "of_a"))
+    far = around.filter(F.col("delta") > FAR * F.col("m")).join(a, "a")
+    zones = [
+        near.select(F.xxhash64("b", F.lit(0)).alias("pivot"), F.col("a").alias("id"), "root", "n", "delta", F.explode(items).alias("item")),
+        far.select(F.xxhash64("b", F.lit(1)).alias("pivot"), F.col("a").alias("id"), "root", "n", F.col("n").alias("delta"), F.explode("of_a").alias("item")),
+    ]
+    return delta_pairs(staged(zones[0].unionByName(zones[1]), "deltas"), p, q)
 
 
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, similarity: float = SIMILARITY
 ) -> DataFrame:
     """Per row: ``key``, class_id (the smallest key of its class)."""
+    p, q = Fraction(similarity).limit_denominator(1_000).as_integer_ratio()
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     bare = rows.filter("doc IS NULL").select(F.col("doc").alias(key), F.lit(None).cast("long").alias("class_id"))
     rows = rows.filter("doc IS NOT NULL")
@@ -243,41 +186,26 @@ def near_duplicates(
     same = ["same_low", "same_high", "n"]
     groups = staged(drawn.groupBy(*same).agg(F.min("doc").alias("rep")), "equal-sets")
     # The first document of each group of equal sets goes on with its bands; all know their first document.
-    members = drawn.join(groups, same).select("doc", "rep", "n", F.when(F.col("doc") == F.col("rep"), F.col("bands")).alias("bands"))
+    members = drawn.join(groups, same).select("doc", "rep", F.when(F.col("doc") == F.col("rep"), F.col("bands")).alias("bands"))
     members = staged(members, "members")
 
-    # A bucket is a band's value; a finer one, whose pivots are more alike, the values of two neighbouring bands.
-    after = F.concat(F.slice("bands", 2, BANDS - 1), F.slice("bands", 1, 1))
-    two = F.zip_with("bands", after, lambda x, y: F.struct(x.alias("band"), F.xxhash64(x, y).alias("finer")))
-    buckets = members.filter("doc = rep").select("doc", "n", F.explode(two).alias("b")).select("doc", "n", "b.*")
-    several = buckets.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1").select("band")
-    met = staged(buckets.join(several, "band"), "buckets")
-    shared = met.select("doc", "n", F.explode(F.array("band", "finer")).alias("band"))
-    sets = staged(shingle_sets(rows.join(met.select("doc").distinct(), "doc"), size), "shingle-sets")
-
-    def linked(new: DataFrame, classes: DataFrame | None) -> DataFrame:
-        known = new if classes is None else new.unionByName(classes.select(F.col("doc").alias("a"), F.col("root").alias("b")))
-        return staged(components(known), "classes")
-
-    classes, seed = None, 0
-    while True:
-        new = staged(verified(candidate_pairs(shared, classes, seed, similarity), sets, similarity), "links")
-        if not new.isEmpty():
-            classes = linked(new, classes)
-        elif seed:
-            break
-        else:
-            classes = shared.select("doc", F.col("doc").alias("root")).limit(0)
-        seed += 1
-    # Finer buckets are parts of bands, so the bands hold all that is left.
-    rows = met.select("doc", "band").join(classes, "doc", "left").withColumn("root", F.coalesce("root", "doc"))
-    several = rows.groupBy("band").agg((F.min("root") != F.max("root")).alias("mixed")).filter("mixed").select("band")
-    left = staged(rows.join(several, "band").select("doc", "root").distinct(), "mixed")
-    new = staged(verified(remaining_pairs(left, sets, similarity), sets, similarity), "links")
+    met = with_pivots(members.filter("doc = rep").select(F.col("doc").alias("id"), F.explode("bands").alias("segment")))
+    needed = met.select(F.col("id").alias("doc")).distinct()
+    if needed.count() <= BROADCAST_KEYS:
+        needed = F.broadcast(needed)
+    sets = staged(shingle_sets(rows.join(needed, "doc", "left_semi"), size), "shingle-sets")
+    if not sets.groupBy("doc").count().filter("count > 1").isEmpty():  # repeated rows
+        sets = staged(sets.dropDuplicates(["doc"]), "shingle-sets")
+
+    found = compared(met.filter("id != pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct(), sets, p, q)
+    links = found.filter("similar").select("a", "b")
+    classes = members.select("doc", F.col("doc").alias("root")).limit(0) if links.isEmpty() else staged(components(links), "classes")
+    new = compared(remaining_pairs(met, found, classes, sets, p, q), sets, p, q).filter("similar").select("a", "b")
     if not new.isEmpty():
-        classes = linked(new, classes)
-    found = members.select("doc", "rep").join(classes.withColumnRenamed("doc", "rep"), "rep", "left")
-    return found.select(F.col("doc").alias(key), F.coalesce("root", "rep").alias("class_id")).unionByName(bare)
+        known = classes.filter("doc != root").select(F.col("doc").alias("a"), F.col("root").alias("b"))
+        classes = staged(components(known.unionByName(new)), "classes")
+    named = members.select("doc", "rep").join(classes.withColumnRenamed("doc", "rep"), "rep", "left")
+    return named.select(F.col("doc").alias(key), F.coalesce("root", "rep").alias("class_id")).unionByName(bare)
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

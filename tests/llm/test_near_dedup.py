@@ -5,6 +5,7 @@ import duckdb
 import numpy as np
 import pytest
 
+from marketlens.llm import links
 from marketlens.llm import near_dedup as N
 from marketlens.llm.decontaminate import words_of
 
@@ -46,8 +47,8 @@ def test_whole_table(spark):
 
 
 def test_components_of_chains_and_stars(spark):
-    links = [(i, i + 1) for i in range(1, 40)] + [(100, k) for k in range(101, 140)] + [(139, 300), (300, 290)]
-    found = {r.doc: r.root for r in N.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    pairs = [(i, i + 1) for i in range(1, 40)] + [(100, k) for k in range(101, 140)] + [(139, 300), (300, 290)]
+    found = {r.doc: r.root for r in links.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert found == {**{i: 1 for i in range(1, 41)}, **{k: 100 for k in [*range(100, 140), 290, 300]}}
 
 
@@ -88,10 +89,32 @@ def test_remaining_pairs_are_all_similar_pairs_of_different_classes(spark):
     sets = {d: set(rng.sample(pool, k)) | {1000 * d + j for j in range(rng.randrange(3))} for d in range(150) for k in [rng.choice([1, 4, 5, 20, 50, 54, 57])]}
     root = {d: d % 40 for d in sets}
     want = {(a, b) for a in sets for b in sets if a < b and root[a] != root[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
-    items = spark.createDataFrame([(d, sorted(s)) for d, s in sets.items()], "doc long, items array<long>")
-    pairs = N.remaining_pairs(spark.createDataFrame(list(root.items()), "doc long, root long"), items, 0.8).collect()
-    assert len(want) > 20 and want <= {tuple(p) for p in pairs}
-    assert all(root[a] != root[b] for a, b in pairs)
+    # Around a pivot without shingles, and around one that is among the sets.
+    for pivot in (set(), sets[7]):
+        rows = [(0, d, root[d], len(s), len(s ^ pivot), x) for d, s in sets.items() for x in s ^ pivot]
+        pairs = links.delta_pairs(spark.createDataFrame(rows, "pivot long, id long, root long, n int, delta int, item long"), 4, 5).collect()
+        linked = {d for d, s in sets.items() if pivot and len(s & pivot) >= 0.8 * len(s | pivot)}
+        assert len(want) > 20 and {(a, b) for a, b in want if not {a, b} <= linked} <= {tuple(p) for p in pairs}
+        assert all(root[a] != root[b] for a, b in pairs)
+
+
+@pytest.mark.parametrize("edits", [12, 45])
+def test_variants_of_a_template(spark, monkeypatch, edits):
+    """The pairs that are compared grow like the family, not like its square."""
+    counts, whole = {}, N.compared
+    monkeypatch.setattr(N, "compared", lambda pairs, *rest: counts.__setitem__(size, counts.get(size, 0) + pairs.count()) or whole(pairs, *rest))
+    for size in (150, 600):
+        rng = random.Random(14)
+        template = [f"w{i}" for i in range(200)]
+        rows = []
+        for i in range(size):
+            words = list(template)
+            for at in rng.sample(range(200), rng.randrange(edits)):
+                words[at] = f"x{rng.randrange(10**9)}"
+            rows.append((i, " ".join(words)))
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        assert {r.doc_id: r.class_id for r in N.near_duplicates(docs).collect()} == brute(rows)
+    assert counts[600] < 5 * counts[150] + 1_000
 
 
 def test_lines_repeated_in_one_copy(spark):
