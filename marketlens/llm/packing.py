@@ -13,7 +13,8 @@ alone. Equal texts are neighbours like any others. Keys are integers; equal keys
 pieces. Extra columns are not read. An empty table gives an empty result.
 
 Texts are encoded in parts between white space (the tokenizer drops white space and joins nothing across it), each
-distinct part once per batch, so no text is too long. The tokenizer must be of that kind, with a sign at words' ends.
+distinct part once per piece of a text, so no text is too long; the parts' ids are gathered by array operations. The
+tokenizer must be of that kind, with a sign at words' ends.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.llm.common import in_runs, mixed, slices, staged, table, text_bytes
+from marketlens.llm.pieces import _eights, distinct_words, equal_spans, windows, word_keys, words_between
 
 WINDOW, END = 2048, 1
 SHARD = 2048
@@ -38,8 +40,13 @@ QUERY_TERMS = 24
 K1, B = 1.2, 0.75
 # Tokens with smaller ids were merged first and are in most texts; they say little about which texts are alike.
 COMMON_IDS = 2_000
-# Distinct parts whose ids a worker remembers; past that it starts anew. Only speed depends on it.
-REMEMBERED = 1_000_000
+# Distinct parts whose ids a worker remembers, some 50 bytes each; of more, the half not used for longest goes. Only speed
+# depends on it.
+REMEMBERED = 600_000
+# Bytes of text that are encoded in one step.
+STEP_BYTES = 1 << 20
+_IN_PART = np.ones(256, bool)
+_IN_PART[[32, *range(9, 14)]] = False
 
 # Words of Latin letters that no normalisation turns into anything else than a letter, with at most one mark. The
 # tokenizer cuts between letters and marks, and its last token of either carries the sign of a word's end.
@@ -52,11 +59,90 @@ PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 NAMES = [c.split()[0] for c in PIECE.split(", ")]
 
 
-class Encoder(dict):
-    """The ids of each part of a text, as little-endian 16-bit numbers."""
+class Growing:
+    """An array that is added to at its end."""
+
+    def __init__(self, kind):
+        self.room, self.n = np.empty(1024, kind), 0
+
+    def __len__(self) -> int:
+        return self.n
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.room[: self.n]
+
+    def add(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.room):
+            room = np.empty(2 * (self.n + len(more)), self.room.dtype)
+            room[: self.n] = self.values
+            self.room = room
+        self.room[self.n : self.n + len(more)] = more
+        self.n += len(more)
+
+
+class Known:
+    """Parts and their ids in arrays. A part is found by its hash and then compared byte by byte."""
+
+    def __init__(self):
+        self.clock = 0
+        self._empty()
+
+    def _empty(self) -> None:
+        self.text, self.ids = Growing(np.uint8), Growing("<u2")
+        self.start, self.length, self.id_start, self.id_length, self.used = (Growing(np.int64) for _ in range(5))
+        self.keys, self.number = np.empty(0, np.uint64), np.empty(0, np.int64)
+
+    def find(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """The number of every part, -1 where it is not known."""
+        out = np.full(len(starts), -1, np.int64)
+        if not len(self.keys):
+            return out
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        maybe = np.flatnonzero(self.keys[at] == keys)
+        number = self.number[at[maybe]]
+        same = equal_spans(data, starts[maybe], ends[maybe], self.text.values, self.start.values[number], self.length.values[number])
+        out[maybe[same]] = number[same]
+        return out
+
+    def add(self, keys: np.ndarray, parts: list[bytes], ids: list[bytes]) -> np.ndarray:
+        """The numbers that the parts get."""
+        number = np.arange(len(self.start), len(self.start) + len(parts))
+        for values, starts, lengths, new, width in ((self.text, self.start, self.length, parts, 1), (self.ids, self.id_start, self.id_length, ids, 2)):
+            size = np.fromiter(map(len, new), np.int64, len(new)) // width
+            starts.add(len(values) + np.cumsum(size) - size)
+            lengths.add(size)
+            values.add(np.frombuffer(b"".join(new), values.room.dtype))
+        self.used.add(np.full(len(parts), self.clock))
+        self._index(np.r_[self.keys, keys], np.r_[self.number, number])
+        return number
+
+    def _index(self, keys: np.ndarray, number: np.ndarray) -> None:
+        self.keys, first = np.unique(keys, return_index=True)  # of parts with equal hashes one is found
+        self.number = number[first]
+
+    def shrink(self, most: int) -> None:
+        if len(self.start) <= most:
+            return
+        used, keys, number = self.used.values, self.keys, self.number
+        kept = used[number] > np.partition(used[number], len(number) // 2)[len(number) // 2]
+        keys, number = keys[kept], number[kept]
+        old = self.text.values, self.ids.values, *(x.values[number] for x in (self.start, self.length, self.id_start, self.id_length, self.used))
+        text, ids, start, length, id_start, id_length, used = old
+        self._empty()
+        self.text.add(text[np.repeat(start, length) + in_runs(length)])
+        self.ids.add(ids[np.repeat(id_start, id_length) + in_runs(id_length)])
+        self.start.add(np.cumsum(length) - length)
+        self.id_start.add(np.cumsum(id_length) - id_length)
+        for mine, values in ((self.length, length), (self.id_length, id_length), (self.used, used)):
+            mine.add(values)
+        self._index(keys, np.arange(len(keys)))
+
+
+class Encoder:
+    """The ids of texts, from those of their parts."""
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -65,28 +151,28 @@ class Encoder(dict):
             raise ValueError("token ids need 16 bits")
         self.ends = np.zeros(1 << 16, bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        self.known = Known()
 
-    def learn(self, parts: set[bytes]) -> None:
-        new = [p for p in parts if p not in self]
-        if len(self) + len(new) > REMEMBERED:
-            self.clear()
-            new = list(parts)
-        texts = [p.decode() for p in new]
+    def encode(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of each of some distinct parts, as little-endian 16-bit numbers."""
+        out: dict[bytes, bytes] = {}
+        texts = [p.decode() for p in parts]
         plain = [i for i, t in enumerate(texts) if PLAIN.fullmatch(t)]
         for start in range(0, len(plain), TOGETHER * 64):
             some = plain[start : start + TOGETHER * 64]
             lines = [some[k : k + TOGETHER] for k in range(0, len(some), TOGETHER)]
             found = self.tokenizer.encode_batch_fast([" ".join(texts[i] for i in line) for line in lines], add_special_tokens=False)
             for line, e in zip(lines, found, strict=True):
-                self._cut(e.ids, [new[i] for i in line])
-        rest = [p for p in new if p not in self]
+                self._cut(e.ids, [parts[i] for i in line], out)
+        rest = [p for p in parts if p not in out]
         for start in range(0, len(rest), 4096):
             some = rest[start : start + 4096]
             found = self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)
-            self.update(zip(some, (np.array(e.ids, "<u2").tobytes() for e in found), strict=True))
+            out.update(zip(some, (np.array(e.ids, "<u2").tobytes() for e in found), strict=True))
+        return [out[p] for p in parts]
 
-    def _cut(self, ids: list[int], words: list[bytes]) -> None:
-        """Learns words that were encoded together: each letters with at most one mark, and so one or two word ends."""
+    def _cut(self, ids: list[int], words: list[bytes], out: dict[bytes, bytes]) -> None:
+        """Ids of words that were encoded together: each letters with at most one mark, and so one or two word ends."""
         found = np.array(ids, "<u2")
         ends = np.flatnonzero(self.ends[found]) + 1
         last = np.cumsum([1 if w[-1] not in MARKS else 2 for w in words]) - 1
@@ -94,13 +180,37 @@ class Encoder(dict):
             return
         bounds, raw = (2 * ends[last]).tolist(), found.tobytes()
         for w, a, b in zip(words, [0, *bounds], bounds, strict=False):
-            self[w] = raw[a:b]
+            out[w] = raw[a:b]
 
     def __call__(self, raw: bytes, bounds: list[int]) -> Iterator[np.ndarray]:
-        self.learn(set(raw.split()) if len(bounds) == 2 else {p for a, b in zip(bounds, bounds[1:]) for p in raw[a:b].split()})  # noqa: B905
-        end = np.array([END], "<u2").tobytes()
-        for a, b in zip(bounds, bounds[1:]):  # noqa: B905
-            yield np.frombuffer(b"".join(map(self.__getitem__, raw[a:b].split())) + end, "<u2")
+        """The ids of each text and the end token. ``bounds``: where texts start and end in ``raw``."""
+        data, offsets = np.frombuffer(raw, np.uint8), np.asarray(bounds, np.int64)
+        sizes = np.zeros(len(bounds) - 1, np.int64)
+        found = [np.empty(0, "<u2")]
+        for start, end in windows(data, offsets, _IN_PART, STEP_BYTES):
+            starts, ends, text = words_between(data, offsets, _IN_PART, start, end)
+            if not len(starts):
+                continue
+            piece = data[start:end]
+            one, group = distinct_words(piece, starts, ends)
+            starts, ends = starts[one], ends[one]
+            keys = word_keys(_eights(piece), starts, ends)
+            known = self.known
+            known.shrink(REMEMBERED)
+            known.clock += 1
+            number = known.find(piece, starts, ends, keys)
+            new = np.flatnonzero(number < 0)
+            if len(new):
+                parts = [raw[a:b] for a, b in zip((starts[new] + start).tolist(), (ends[new] + start).tolist(), strict=True)]
+                number[new] = known.add(keys[new], parts, self.encode(parts))
+            known.used.values[number] = known.clock
+            each = known.id_length.values[number][group]
+            found.append(known.ids.values[np.repeat(known.id_start.values[number][group], each) + in_runs(each)])
+            np.add.at(sizes, text, each)
+        whole, stops = np.concatenate(found), np.cumsum(sizes)
+        end_token = np.array([END], "<u2")
+        for a, b in zip((stops - sizes).tolist(), stops.tolist(), strict=True):
+            yield np.concatenate([whole[a:b], end_token])
 
 
 @cache
@@ -125,7 +235,7 @@ def encoded(docs: DataFrame, path: str, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, number = encoder(path), TaskContext.get().partitionId() << 40
-        for batch in slices(batches):
+        for batch in slices(batches, most=4 * STEP_BYTES):
             data, offsets = text_bytes(batch.column("text"))
             rows = []
             for key, ids in zip(batch.column("doc_id").to_pylist(), encode(data.tobytes(), offsets.tolist()), strict=True):

@@ -50,6 +50,41 @@ def _eights(data: np.ndarray) -> np.ndarray:
 _MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 
 
+def word_keys(eights: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each span's length and its first and last eight bytes: all of it, where it has no more than sixteen."""
+    length = ends - starts
+    first = eights[starts] & _MASK[np.minimum(length, 8)]
+    last = np.where(length > 8, eights[np.maximum(ends - 8, starts)], np.uint64(0))
+    return mixed(first ^ mixed(last + length.astype(np.uint64)))
+
+
+def equal_spans(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray, other_start: np.ndarray, other_length: np.ndarray
+) -> np.ndarray:
+    """Whether each span of ``data`` has the bytes of its span of ``other``, compared eight bytes at a time."""
+    length, eights, others = ends - starts, _eights(data), _eights(other)
+    same = length == other_length
+    going, done = np.flatnonzero(same), 0
+    while len(going):
+        rest = _MASK[np.minimum(length[going] - done, 8)]
+        differ = (eights[starts[going] + done] ^ others[other_start[going] + done]) & rest != 0
+        same[going[differ]] = False
+        done += 8
+        going = going[~differ & (length[going] > done)]
+    return same
+
+
+def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One span of each distinct content, and for every span which of them it equals. Spans are compared byte by byte."""
+    _, one, group = np.unique(word_keys(_eights(data), starts, ends), return_index=True, return_inverse=True)
+    like = one[group]
+    if not equal_spans(data, starts, ends, data, starts[like], (ends - starts)[like]).all():  # contents with equal hashes
+        raw, seen = data.tobytes(), {}
+        group = np.array([seen.setdefault(raw[a:b], len(seen)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.int64)
+        _, one = np.unique(group, return_index=True)
+    return one, group
+
+
 class Vocabulary:
     """Words (bytes, A-Z lower-cased) and their numbers. A word is found by a hash and then compared byte by byte.
 
@@ -64,44 +99,27 @@ class Vocabulary:
         self.layers = []
         if not words:
             return
-        keys = self._keys(_eights(self.data), self.start, self.start + self.length)
+        keys = word_keys(_eights(self.data), self.start, self.start + self.length)
         left = np.argsort(keys, kind="stable")
         while len(left):
             fresh = np.r_[True, keys[left[1:]] != keys[left[:-1]]]
             self.layers.append((keys[left[fresh]], left[fresh]))
             left = left[~fresh]
 
-    @staticmethod
-    def _keys(eights: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        length = ends - starts
-        first = eights[starts] & _MASK[np.minimum(length, 8)]
-        last = np.where(length > 8, eights[np.maximum(ends - 8, starts)], np.uint64(0))
-        return mixed(first ^ mixed(last + length.astype(np.uint64)))
-
     def find(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the spans of ``data`` are words of the vocabulary, and the numbers of those."""
         if not self.size or not len(starts):
             return np.empty(0, np.int64), np.empty(0, np.int64)
         short = np.flatnonzero(ends - starts <= int(self.length.max()))
         starts, ends = starts[short], ends[short]
-        eights, own = _eights(_LOWER[data]), _eights(self.data)
-        keys = self._keys(eights, starts, ends)
+        lower = _LOWER[data]
+        keys = word_keys(_eights(lower), starts, ends)
         number = np.full(len(starts), -1, np.int64)
         for sorted_keys, ids in self.layers:
             at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
             maybe = np.flatnonzero((sorted_keys[at] == keys) & (number < 0))
             same = ids[at[maybe]]
-            fits = ends[maybe] - starts[maybe] == self.length[same]
-            maybe, same = maybe[fits], same[fits]
-            going = np.arange(len(maybe))
-            equal = np.ones(len(maybe), bool)
-            done = 0
-            while len(going):
-                rest = _MASK[np.minimum(self.length[same[going]] - done, 8)]
-                differ = (eights[starts[maybe[going]] + done] ^ own[self.start[same[going]] + done]) & rest
-                equal[going[differ != 0]] = False
-                done += 8
-                going = going[(differ == 0) & (self.length[same[going]] > done)]
+            equal = equal_spans(lower, starts[maybe], ends[maybe], self.data, self.start[same], self.length[same])
             number[maybe[equal]] = same[equal]
         hit = np.flatnonzero(number >= 0)
         return short[hit], number[hit]

@@ -9,6 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from marketlens.llm import packing as P
+from marketlens.llm import pieces
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -86,3 +87,22 @@ def test_scores_are_bm25_and_neighbours_come_by_score():
     unused = rng.random(30) < 0.7
     order = list(index.neighbours(3, unused))
     assert sorted(order) == np.flatnonzero(unused).tolist() and (np.diff(want[order]) <= 1e-12).all()
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_ids_with_little_memory_and_equal_hashes(monkeypatch, weak):
+    """Parts are forgotten and encoded anew; parts with equal hashes are told apart."""
+    monkeypatch.setattr(P, "REMEMBERED", 40)
+    monkeypatch.setattr(P, "STEP_BYTES", 300)
+    if weak:
+        for module in (P, pieces):
+            monkeypatch.setattr(module, "word_keys", lambda eights, starts, ends: (ends - starts).astype(np.uint64) % np.uint64(5))
+    rng = random.Random(6)
+    words = [f"word{rng.randrange(300)}" + rng.choice(["", ".", "é", "-and-a-longer-end"]) for _ in range(1_500)]
+    texts = [" ".join(words[i : i + 40]) for i in range(0, 1_500, 40)]
+    encode = P.Encoder(PATH)
+    raw = [t.encode() for t in texts]
+    found = encode(b"".join(raw), [0, *np.cumsum([len(r) for r in raw]).tolist()])
+    for t, ids in zip(texts, found, strict=True):
+        assert ids.tolist() == encode.tokenizer.encode(t, add_special_tokens=False).ids + [1]
+    assert len(encode.known.start) < 200

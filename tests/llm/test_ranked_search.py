@@ -116,7 +116,7 @@ def test_words_are_found_piece_by_piece():
 def test_vocabulary_compares_bytes(monkeypatch, weak):
     """Also if all words of one length have the same hash."""
     if weak:
-        monkeypatch.setattr(pieces.Vocabulary, "_keys", staticmethod(lambda eights, starts, ends: (ends - starts).astype(np.uint64) % np.uint64(3)))
+        monkeypatch.setattr(pieces, "word_keys", lambda eights, starts, ends: (ends - starts).astype(np.uint64) % np.uint64(3))
     words = [b"a", b"b", b"ab", b"eight888", b"eight889", b"seventeen-letters", b"seventeen-letterz", b"middle-A-differs-here", b"middle-b-differs-here".lower()]
     words = [w.lower() for w in words]
     texts = [*words, b"A", b"EIGHT888", b"c", b"eight88", b"middle-c-differs-here", b"seventeen-letter"]
@@ -126,3 +126,15 @@ def test_vocabulary_compares_bytes(monkeypatch, weak):
     found = dict(zip(at.tolist(), number.tolist(), strict=True))
     assert found == {i: words.index(t.lower()) for i, t in enumerate(texts) if t.lower() in words}
     assert len(pieces.Vocabulary([]).find(data, ends - 1, ends)[0]) == 0
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_distinct_words_compares_bytes(monkeypatch, weak):
+    if weak:
+        monkeypatch.setattr(pieces, "word_keys", lambda eights, starts, ends: (ends - starts).astype(np.uint64) % np.uint64(3))
+    rng = random.Random(7)
+    words = [rng.choice(["a", "bb", "eight888", "eight889", "seventeen-letters", "seventeen-lettars", "x" * 40 + "y", "x" * 40 + "z"]) for _ in range(200)]
+    data = np.frombuffer("".join(words).encode(), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    one, group = pieces.distinct_words(data, ends - [len(w) for w in words], ends)
+    assert [words[i] for i in one[group]] == words and len(one) == len(set(words))
