@@ -394,7 +394,8 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def _bind(build: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    # select("*") gives a new DataFrame each time, so that every action on it runs in full.
+    # select("*") gives a new DataFrame each time, so that every action on it runs its plan in full (reading the stores
+    # that Tables keeps, where it starts from one).
     return lambda spark, sf_dir: build(tables(spark, sf_dir)).select("*")
 
 
