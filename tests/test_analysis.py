@@ -143,7 +143,18 @@ def test_kpis_of_nothing(empty):
     assert tuple(sla.sla_overall(empty["orders"]).first()) == (0, 0, 0.0, 0.0)
     averages = cohort.average_retention(cohort.cohort_retention(cohort.cohort_counts(empty["orders"])))
     assert tuple(averages.first()) == (None, None, None, False)
-    assert tuple(kpi.retention_record(averages).first()) == ("0.0%", kpi.NO_REPEAT_NOTE)
+    nobody = cohort.has_repeat_customers(empty["orders"])
+    assert tuple(kpi.retention_record(averages, nobody).first()) == ("0.0%", kpi.NO_REPEAT_NOTE)
+
+
+def test_the_note_on_repeat_customers_is_true(spark):
+    """Somebody came back, but not in the month after the first: no retention, yet not only single purchases."""
+    rows = [(1, 7, "delivered", dt.datetime(2018, 1, 2)), (2, 7, "delivered", dt.datetime(2018, 1, 20)), (3, 8, "cancelled", dt.datetime(2018, 1, 2))]
+    orders = spark.createDataFrame(rows, "order_id int, customer_id int, order_status string, order_purchase_timestamp timestamp_ntz")
+    averages = spark.createDataFrame([(None,)], "avg_retention_month_1 double")
+    assert tuple(kpi.retention_record(averages, cohort.has_repeat_customers(orders)).first()) == ("0.0%", kpi.REPEAT_NOTE)
+    once = orders.filter("order_id != 2")
+    assert tuple(kpi.retention_record(averages, cohort.has_repeat_customers(once)).first()) == ("0.0%", kpi.NO_REPEAT_NOTE)
 
 
 def test_delivery_by_city_needs_its_columns(spark):
@@ -163,7 +174,7 @@ def document(spark, categories, cities):
         spark.createDataFrame(categories, "product_category_name string, revenue double"),
         late,
         spark.createDataFrame(cities, "customer_city string, avg_delivery_days double, total_orders bigint"),
-        kpi.retention_record(averages),
+        kpi.retention_record(averages, spark.createDataFrame([(False,)], "repeat_customers boolean")),
     )
 
 
