@@ -1,4 +1,5 @@
 import duckdb
+import pytest
 
 import corpus_pipeline
 from marketlens.llm import decontaminate, near_dedup
@@ -34,3 +35,15 @@ def test_stages_in_order(spark, monkeypatch):
     bad = {r.doc_id for r in decontaminate.with_verdict(decontaminate.contamination(docs, items)).filter("contaminated").collect()}
     assert rows[4].keys() == rows[3].keys() - bad
     assert {p.doc_id for p in pieces} == rows[4].keys()
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES[:-1])
+def test_stages_on_odd_rows(spark, odd_docs, keyless, no_docs, name, stage):
+    """Null, empty and long texts, repeated rows, null keys, clashing names: rows go or stay as they are, none is changed."""
+    sf = "/root/testdata/sf0.001"
+    docs = odd_docs.unionByName(keyless)
+    out = stage(spark, docs, sf)
+    assert out.columns == docs.columns
+    assert out.exceptAll(docs).count() == 0
+    assert out.filter("doc_id IS NULL").count() == 2 or name == "exact_dedup"
+    assert stage(spark, no_docs, sf).count() == 0
