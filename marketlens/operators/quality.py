@@ -143,9 +143,10 @@ def offenders(orders: DataFrame, customers: DataFrame, items: DataFrame, product
 def summary_of_offenders(offending: DataFrame, items: DataFrame, examples: int = 5) -> DataFrame:
     """One row per check: check_name, passed, n_bad, sample (first few offenders as text).
 
-    One aggregation counts the offenders and one, limited per check before the shuffle, shows the first. Stored offenders
-    are read for both; the checks themselves are not run again.
+    One aggregation counts the offenders and one, limited per check before the shuffle, shows the first. Both start from
+    one exchange of the offenders, which Spark runs once, so the checks are not run again.
     """
+    offending = offending.hint("rebalance", F.col("check_name"), F.col("example"))
     rank = F.row_number().over(Window.partitionBy("check_name").orderBy("example"))
     counts = offending.groupBy("check_name").agg(F.count(F.lit(1)).alias("n_bad"))
     firsts = (

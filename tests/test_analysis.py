@@ -367,3 +367,10 @@ def test_quality_summary(shop):
     assert rows[("pk_order_id",)].passed
     assert (rows[("allowed_status",)].n_bad, rows[("allowed_status",)].sample) == (1, "null")
     assert rows[("fk_item_order",)].sample == "zz"
+
+
+def test_quality_summary_runs_the_checks_once(shop):
+    summary = quality.quality_summary(shop["orders"], shop["customers"], shop["items"], shop["products"])
+    summary.collect()
+    text = summary._jdf.queryExecution().executedPlan().toString()
+    assert text.split("== Initial Plan ==")[0].count("Union") == 1
