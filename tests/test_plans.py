@@ -57,6 +57,15 @@ def test_scans_read_only_what_they_need(spark):
     assert "PushedFilters: [IsNotNull(p_partkey)" in text
 
 
+def test_the_kpi_file_cleans_the_orders_once(spark, monkeypatch):
+    written = []
+    save = catalog.writers.save_json
+    monkeypatch.setattr(catalog.writers, "save_json", lambda df, path: (written.append(df), save(df, path)))
+    assert catalog.queries()["kpi_json_published"](spark, SF_DIR).count() > 0
+    # Only the raw orders need the shipping dates of the items.
+    assert "l_shipdate" not in plan(written[0])
+
+
 def test_keep_first_limits_groups_before_the_shuffle(spark):
     text = plan(catalog.Tables(spark, SF_DIR).customers)
     assert re.search(r"WindowGroupLimit .* Partial", text)
