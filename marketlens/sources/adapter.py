@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlens.sources.store import Folder
 
 # The columns used here. Naming them spares Spark the job that would look them up in the files.
 COLUMNS = {
@@ -30,6 +31,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def input_gb(spark: SparkSession, sf_dir: str) -> float:
+    """Size of the files of the tables used here. Only their lengths are looked up."""
+    folder = Folder(spark, sf_dir)
+    return sum(folder.size(f"{name}.parquet") for name in COLUMNS) / 2**30
+
+
 def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     places = _table(spark, sf_dir, "nation").join(

@@ -7,8 +7,9 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from marketlens import jobs
-from marketlens.session import size_shuffles, work_dir
-from marketlens.sources import bronze, readers, schemas, writers
+from marketlens.plans import catalog
+from marketlens.session import apply_scale_settings, size_shuffles, work_dir
+from marketlens.sources import adapter, bronze, readers, schemas, writers
 from marketlens.sources.store import Store
 
 FILES = {
@@ -237,6 +238,34 @@ def test_shuffles_follow_the_input_size(spark):
         spark.conf.set("spark.sql.shuffle.partitions", saved)
 
 
+@pytest.mark.parametrize("key", ["spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"])
+def test_blocks_of_a_task_are_bounded(spark, key):
+    saved = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "128m")
+        apply_scale_settings(spark)
+        assert int(spark.conf.get(key)) <= 16 << 20
+        spark.conf.set(key, "64k")
+        apply_scale_settings(spark)
+        assert spark.conf.get(key) == "64k"
+    finally:
+        spark.conf.set(key, saved)
+
+
+def test_queries_size_their_shuffles(spark, tmp_path, monkeypatch):
+    (tmp_path / "orders.parquet").write_bytes(b"x" * 1000)
+    (tmp_path / "lineitem.parquet").mkdir()
+    (tmp_path / "lineitem.parquet" / "part-0").write_bytes(b"x" * 500)
+    assert adapter.input_gb(spark, str(tmp_path)) == 1500 / 2**30
+    saved = spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(adapter, "input_gb", lambda *_: 2.0)
+    try:
+        catalog.Tables(spark, str(tmp_path))
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 513
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", saved)
+
+
 def test_raw_files_are_read_once(spark, raw, tmp_path, monkeypatch):
     """Every raw file has one scan, at landing; all later jobs work without the raw folder."""
     store, reports = str(tmp_path / "store"), str(tmp_path / "reports")
