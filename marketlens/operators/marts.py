@@ -40,6 +40,28 @@ def measured_items(items: DataFrame) -> DataFrame:
     )
 
 
+def _narrow_items(items: DataFrame) -> DataFrame:
+    """What measured items follow from, without what can be found again after a shuffle: the sum of two amounts, and the
+    item number, of which only counts whether there is one."""
+    numbered = F.col("order_item_id").isNotNull().alias("numbered")
+    return items.select(
+        "order_id", "product_id", cents("price").alias("price_cents"), cents("freight_value").alias("freight_cents"), numbered
+    )
+
+
+def _narrow_item_sums() -> list[Column]:
+    """``item_sums`` of narrow items."""
+    gross = F.col("price_cents") + F.col("freight_cents")
+    return [
+        F.count_if("numbered").alias("items"),
+        F.sum(gross).alias("gross"),
+        F.count(gross).alias("gross_rows"),
+        F.sum("price_cents").alias("price_sum"),
+        F.count("price_cents").alias("price_rows"),
+        F.sum("freight_cents").alias("freight_sum"),
+    ]
+
+
 def item_sums() -> list[Column]:
     """Additive figures of a group of measured items."""
     return [
@@ -263,11 +285,11 @@ def sales_lines(
     categories = products.select("product_id", "product_category_name", F.lit(True).alias("known_product"))
     keys = ["order_id", *per_order.columns[1:], "product_id", "product_category_name", "known_product"]
     lines = (
-        measured_items(items)
+        _narrow_items(items)
         .join(categories, "product_id", "left")
-        .join(per_order, "order_id")
+        .join(per_order.hint("merge"), "order_id")
         .groupBy(*keys)
-        .agg(*item_sums(), F.count(F.lit(1)).alias("n_rows"))
+        .agg(*_narrow_item_sums(), F.count(F.lit(1)).alias("n_rows"))
     )
     in_category = Window.partitionBy("order_id", "known_product", "product_category_name").orderBy("product_id")
     in_order = Window.partitionBy("order_id").orderBy("known_product", "product_category_name", "product_id")

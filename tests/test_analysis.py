@@ -374,3 +374,24 @@ def test_quality_summary_runs_the_checks_once(shop):
     summary.collect()
     text = summary._jdf.queryExecution().executedPlan().toString()
     assert text.split("== Initial Plan ==")[0].count("Union") == 1
+
+
+def test_sales_lines_add_up_missing_amounts_and_item_numbers(spark):
+    amounts = [(1, 1.0, 0.5), (None, 2.0, None), (3, None, 4.0), (4, None, None)]
+    rows = [(1, number, product, price, freight) for product in (7, 8, None) for number, price, freight in amounts]
+    rows += [(2, None, 7, 1.5, 0.25), (None, 1, 7, 9.0, 9.0), (3, 1, 7, 9.0, 9.0)]
+    items = spark.createDataFrame(rows, "order_id long, order_item_id int, product_id long, price double, freight_value double")
+    orders = spark.createDataFrame(
+        [(1, 5, None, 40), (2, None, None, None), (None, 6, None, 1)],
+        "order_id long, customer_id long, order_purchase_timestamp timestamp_ntz, delivery_time_days int",
+    )
+    products = spark.createDataFrame([(7, "a"), (8, None)], "product_id long, product_category_name string")
+    figures = ["items", "gross", "gross_rows", "price_sum", "price_rows", "freight_sum", "n_rows"]
+    lines = marts.sales_lines(orders, items, products).select("order_id", "product_id", *figures, "new_order", "new_in_category")
+    found = sorted(map(tuple, lines.collect()), key=str)
+    whole = (3, 150, 1, 300, 2, 450, 4)
+    assert [row[:9] for row in found] == [(1, 7, *whole), (1, 8, *whole), (1, None, *whole), (2, 7, 0, 175, 1, 150, 1, 25, 1)]
+    assert sum(row[9] for row in found) == 2
+    assert [row[10] for row in found] == [1, 1, 1, 1]
+    direct = marts.measured_items(items).groupBy("order_id", "product_id").agg(*marts.item_sums(), F.count(F.lit(1)).alias("n_rows"))
+    assert set(map(tuple, lines.select("order_id", "product_id", *figures).collect())) <= set(map(tuple, direct.collect()))

@@ -125,6 +125,19 @@ def test_sales_lines_shuffle_the_items_once(spark, no_broadcast, tmp_path):
     assert direct.exceptAll(built["mart_daily_category"].select(direct.columns)).count() == 0
 
 
+def test_sales_lines_cross_by_order_once_even_where_the_orders_are_few(spark, tmp_path):
+    """Were the orders broadcast, the roll-up and the windows would shuffle all lines, twice."""
+    t = catalog.Tables(spark, SF_DIR)
+    frames = {}
+    for name in ("orders", "items", "products"):
+        getattr(t, name).write.parquet(str(tmp_path / name))
+        frames[name] = spark.read.parquet(str(tmp_path / name))
+    text = plan(marts.sales_lines(**frames))
+    keys = [re.sub(r"#\d+L?|, \d+$", "", s) for s in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)]
+    assert keys == ["order_id", "order_id"]
+    assert "gross_cents" not in text
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, no_broadcast):
     from marketlens.sources.writers import save_catalog_table
 

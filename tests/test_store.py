@@ -164,3 +164,12 @@ def test_orders_of_unknown_customers_are_not_merged(spark, store):
     delta = t.orders_raw.limit(5).withColumn("customer_id", F.lit(-7).cast("bigint"))
     assert jobs.upsert_orders(spark, store.base, delta) == []
     assert values(store.read("fact_orders")) == before
+
+
+def test_stored_files_are_packed_densely(spark, store, tmp_path):
+    with store.change() as change:
+        change.replace("a", spark.range(30))
+        change.replace("b", spark.range(30).withColumn("part", F.col("id") % 2), by=["part"])
+    files = [path.name for path in (tmp_path / "store").rglob("*.parquet")]
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
+    assert (store.read("a").count(), store.read("b").count()) == (30, 30)
