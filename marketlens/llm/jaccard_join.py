@@ -15,9 +15,11 @@ Pairs are not enumerated within groups. Equal sets are one set from the start. O
 that shares most segments with others is the pivot, and all are compared with it; similar ones are linked, and linked
 sets form components. Then only pairs of different components can matter. Both sets of such a pair differ from their
 common pivot, and by the triangle inequality of the symmetric difference those deltas must have shingles in common: if
-they had none, both would be linked to the pivot. So the remaining pairs are found by a prefix filter on the deltas,
-rarest shingles first: the shingles that a whole family of documents shares are in no delta. All pairs found are
-verified by their exact overlap. Nothing is capped or left out.
+they had none, both would be linked to the pivot. Where few sets share a segment, their pairs are told outright. The
+pairs that share only segments of many sets are found by a prefix filter on the deltas, rarest shingles first: the
+shingles that a whole family of documents shares are in no delta. As such a pair shares three segments, a set needs no
+delta to the pivots of its last two in one order of all segments. All pairs found are verified by their exact overlap.
+Nothing is capped or left out.
 
 Shingles are runs of ``size`` words, words are runs of bytes other than white space, A-Z lower-cased. A shorter text is
 one shingle, a null one or one without words has none and is linked with nothing. Shingles are told apart by 64-bit,
@@ -44,8 +46,10 @@ SIZE, NUMERATOR, DENOMINATOR = 3, 9, 10
 # How many segments of similar sets are equal at least.
 EQUAL = 3
 # Up to so many documents that share a segment, their keys (some tens of MB) are broadcast to the scan of the texts; beyond, the
-# texts are shuffled once.
+# texts are shuffled once. Likewise for the sets of a comparison and the scan of the segments.
 BROADCAST_KEYS = 1_000_000
+# Of a segment that so many sets or fewer have beside the pivot, all pairs are told; beyond, those of similar deltas.
+FEW = 16
 # Bytes of a word that are hashed in one step.
 STRETCH = 1 << 16
 _IN_WORD = np.ones(256, bool)
@@ -216,10 +220,16 @@ def segments(docs: DataFrame, size: int, p: int, q: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, cut int, fragment int, items array<long>")
 
 
+def ends_of(pairs: DataFrame, end: str, cut: DataFrame) -> DataFrame:
+    """The segments of the sets at one end of the pairs, so that no others are shuffled; all, where the sets are too many to tell."""
+    ids = pairs.select(F.col(end).alias("id")).distinct()
+    return cut.join(F.broadcast(ids), "id", "left_semi") if ids.count() <= BROADCAST_KEYS else cut
+
+
 def differences(pairs: DataFrame, cut: DataFrame) -> DataFrame:
     """Pairs a, b, cut: per pair and fragment a, b, part (how many shingles both have), items (those that one has alone)."""
-    a = cut.select(F.col("id").alias("a"), "cut", "fragment", F.col("items").alias("of_a"))
-    b = cut.select(F.col("id").alias("b"), "cut", "fragment", F.col("items").alias("of_b"))
+    a = ends_of(pairs, "a", cut).withColumnsRenamed({"id": "a", "items": "of_a"})
+    b = ends_of(pairs, "b", cut).withColumnsRenamed({"id": "b", "items": "of_b"})
     met = pairs.select("a", "b", "cut").join(a, ["a", "cut"]).join(b, ["b", "cut", "fragment"])
     alone = F.concat(F.array_except("of_a", "of_b"), F.array_except("of_b", "of_a"))
     items = F.when(F.col("of_a") != F.col("of_b"), alone).otherwise(F.array().cast("array<long>"))
@@ -231,16 +241,20 @@ def similar(overlap: Column, n: Column, m: Column, p: int, q: int) -> Column:
     return q * overlap >= p * (n + m - overlap)
 
 
-def sized_pairs(pairs: DataFrame, sharing: DataFrame) -> DataFrame:
-    """Pairs a, b with n and m (sizes), cut, and likely: whether as many segments are equal as in similar sets.
+def sized_pairs(pairs: DataFrame, sharing: DataFrame, p: int, q: int) -> DataFrame:
+    """Pairs a, b with n and m (sizes), cut, likely: whether as many segments are equal as in similar sets of any size; and
+    close: whether their sizes allow similarity and all fragments are equal but one for each shingle that one may have alone.
 
     ``sharing``: id, n, kind, empty, segments (those that others have too) of the sets that share any.
     """
     a = sharing.select(F.col("id").alias("a"), "n", F.col("kind").alias("i"), F.col("empty").alias("e"), F.col("segments").alias("of_a"))
     b = sharing.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("kind").alias("j"), F.col("empty").alias("f"), F.col("segments").alias("of_b"))
     equal = F.size(F.array_intersect("of_a", "of_b")) + F.least("e", "f")
-    rows = pairs.join(a, "a").join(b, "b")
-    return staged(rows.select("a", "b", "n", "m", F.greatest("i", "j").alias("cut"), (equal >= EQUAL).alias("likely")), "pairs")
+    fragments = F.get(F.array(*[F.lit(f) for f in size_classes(p, q)[1].tolist()]), F.col("cut"))
+    apart = F.floor((F.col("n") + F.col("m")) * (q - p) / (q + p))
+    close = (equal >= fragments - apart) & (q * F.least("n", "m") >= p * F.greatest("n", "m"))
+    rows = pairs.join(a, "a").join(b, "b").withColumn("cut", F.greatest("i", "j"))
+    return staged(rows.select("a", "b", "n", "m", "cut", (equal >= EQUAL).alias("likely"), close.alias("close")), "pairs")
 
 
 def compared(sized: DataFrame, cut: DataFrame, p: int, q: int) -> tuple[DataFrame, DataFrame]:
@@ -251,22 +265,59 @@ def compared(sized: DataFrame, cut: DataFrame, p: int, q: int) -> tuple[DataFram
     return staged(counted.withColumn("similar", similar(F.col("overlap"), F.col("n"), F.col("m"), p, q)), "overlaps"), parts
 
 
+def of_several_roots(rows: DataFrame) -> DataFrame:
+    """Rows segment, root, ..: those of segments that sets of several roots have, with holders (how many have it)."""
+    found = rows.groupBy("segment").agg((F.min("root") != F.max("root")).alias("mixed"), F.count("*").alias("holders"))
+    return rows.join(found.filter("mixed").drop("mixed"), "segment")
+
+
+def pairs_of_few(rows: DataFrame) -> DataFrame:
+    """Pairs a < b of different roots that share a segment, of rows segment, id, root with few to a segment."""
+    a = rows.select("segment", F.col("id").alias("a"), F.col("root").alias("s"))
+    b = rows.select("segment", F.col("id").alias("b"), F.col("root").alias("t"))
+    return a.join(b, "segment").filter("a < b AND s != t").select("a", "b").distinct()
+
+
+def around_pivots(rows: DataFrame) -> DataFrame:
+    """a (a set), b (a pivot), root: by which pairs that share ``EQUAL`` segments of the rows (segment, id, pivot, root, empty)
+    have a pivot in common. Empty segments count for the set, as they may have no names."""
+    for _ in range(2):
+        enough = rows.groupBy("id").agg((F.count("*") + F.first("empty") >= EQUAL).alias("enough")).filter("enough").select("id")
+        rows = of_several_roots(rows.join(enough, "id")).drop("holders")
+    rows = staged(rows, "crowded")
+    # In one order of all segments, the first that two sets share is among the last EQUAL - 1 of neither. Those of large
+    # families come first, so that a set keeps few pivots.
+    weights = rows.groupBy("pivot").agg(F.count("*").alias("weight"))
+    order = F.sort_array(F.collect_list(F.struct("weight", "pivot", "segment")), asc=False).alias("order")
+    ordered = rows.join(weights, "pivot").groupBy("id", "root").agg(order, F.first("empty").alias("empty"))
+    kept = F.slice("order", F.lit(1), F.greatest(F.size("order") - F.greatest(EQUAL - 1 - F.col("empty"), F.lit(0)), F.lit(0)))
+    rows = of_several_roots(ordered.select("id", "root", F.explode(kept).alias("e")).select("id", "root", "e.segment", "e.pivot"))
+    return rows.select(F.col("id").alias("a"), F.col("pivot").alias("b"), "root").distinct()
+
+
 def remaining_pairs(
-    met: DataFrame, sized: DataFrame, found: tuple[DataFrame, DataFrame], roots: DataFrame, cut: DataFrame, p: int, q: int
+    met: DataFrame,
+    sharing: DataFrame,
+    sized: DataFrame,
+    found: tuple[DataFrame, DataFrame],
+    roots: DataFrame,
+    cut: DataFrame,
+    p: int,
+    q: int,
 ) -> DataFrame:
     """Pairs a < b of sets that share a segment, are of different components and may be similar. ``found``: the likely pairs
     of a set and its pivot, compared. Neither set is the pivot, so a segment matters if other sets than it are of several."""
     rows = met.filter("id != pivot").join(roots.withColumnRenamed("doc", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    mixed_ones = rows.groupBy("segment").agg((F.min("root") != F.max("root")).alias("mixed")).filter("mixed").select("segment")
-    around = rows.join(mixed_ones, "segment").select(F.col("id").alias("a"), F.col("pivot").alias("b"), "root").distinct()
-    around = staged(around, "mixed")
+    rows = staged(of_several_roots(rows.join(sharing.select("id", "empty"), "id")), "mixed")
+    of_few = pairs_of_few(rows.filter(F.col("holders") <= FEW))
+    around = staged(around_pivots(rows.filter(F.col("holders") > FEW).drop("holders")), "mixed")
     others = sized.filter("NOT likely").join(around, ["a", "b"], "left_semi")
     more, more_parts = compared(staged(others, "pairs"), cut, p, q)
     known = found[0].unionByName(more).select("a", "b", "n", (F.col("n") + F.col("m") - 2 * F.col("overlap")).alias("delta"))
     around = staged(around.join(known, ["a", "b"]), "mixed")
     differing = found[1].unionByName(more_parts).filter("size(items) > 0").join(around, ["a", "b"])
     deltas = differing.select(F.col("b").alias("pivot"), F.col("a").alias("id"), "root", "n", "delta", F.explode("items").alias("item"))
-    return delta_pairs(staged(deltas, "deltas"), p, q)
+    return of_few.unionByName(delta_pairs(staged(deltas, "deltas"), p, q)).distinct()
 
 
 def texts_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -282,7 +333,7 @@ def similar_sets(sets: DataFrame, docs: DataFrame, size: int, p: int, q: int) ->
     met = with_pivots(sets.select("id", F.explode("segments").alias("segment")))
     lists = met.groupBy("id").agg(F.collect_list("segment").alias("segments"))
     sharing = staged(sets.select("id", "low", "high", "smallest", "n", "kind", "empty").join(lists, "id"), "sharing-sets")
-    sized = sized_pairs(met.filter("id != pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct(), sharing)
+    sized = sized_pairs(met.filter("id != pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct(), sharing, p, q)
     # The sets of likely pairs, and of segments that more than two sets have.
     ends = sized.filter("likely").select(F.explode(F.array("a", "b")).alias("id"))
     several = met.groupBy("segment").agg(F.count("*").alias("holders")).filter("holders > 2").select("segment")
@@ -296,8 +347,8 @@ def similar_sets(sets: DataFrame, docs: DataFrame, size: int, p: int, q: int) ->
     found = compared(staged(sized.filter("likely"), "pairs"), cut, p, q)
     links = found[0].filter("similar").select("a", "b")
     roots = staged(components(links), "components") if not links.isEmpty() else sets.select(F.col("id").alias("doc"), F.col("id").alias("root")).limit(0)
-    rest = remaining_pairs(met, sized, found, roots, cut, p, q)
-    rest = compared(sized_pairs(rest, sharing), cut, p, q)[0].filter("similar").select("a", "b")
+    rest = sized_pairs(remaining_pairs(met, sharing, sized, found, roots, cut, p, q), sharing, p, q)
+    rest = compared(staged(rest.filter("close"), "pairs"), cut, p, q)[0].filter("similar").select("a", "b")
     if not rest.isEmpty():
         known = roots.filter("doc != root").select(F.col("doc").alias("a"), F.col("root").alias("b"))
         return staged(components(known.unionByName(rest)), "components")

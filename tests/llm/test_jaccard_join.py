@@ -172,3 +172,31 @@ def test_texts_are_shuffled_when_too_many_are_compared(spark, monkeypatch):
     monkeypatch.setattr(J, "BROADCAST_KEYS", 0)
     rows = families(random.Random(5), [40, 10]) + [(5, "same key"), (5, "other text here"), (None, "a b c d"), (None, "a b c d e")]
     assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
+def test_few_that_share_a_passage_have_no_deltas(spark, monkeypatch):
+    """Sets that share segments with few others, and are similar to none of them, are told apart without their shingles."""
+    made = []
+    whole = J.delta_pairs
+
+    def counted(deltas, p, q):
+        made.append(deltas.count())
+        return whole(deltas, p, q)
+
+    monkeypatch.setattr(J, "delta_pairs", counted)
+    rng = random.Random(6)
+    rows = []
+    for family in range(30):
+        passage = [f"p{family}x{i}" for i in range(60)]
+        rows += [" ".join(passage + [f"o{rng.randrange(10**9)}" for _ in range(60)]) for _ in range(6)]
+    rows = list(enumerate(rows))
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    assert sum(made) == 0
+
+
+@pytest.mark.parametrize(("few", "p", "q"), [(0, 9, 10), (2, 4, 5)])
+def test_deltas_like_brute_force(spark, monkeypatch, few, p, q):
+    """The same components where more of the pairs are found by deltas."""
+    monkeypatch.setattr(J, "FEW", few)
+    rows = families(random.Random(7 + few), [60, 25, 6, 5, 4])
+    assert found(spark.createDataFrame(rows, "doc_id long, text string"), p=p, q=q) == brute(rows, p, q)
