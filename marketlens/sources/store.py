@@ -25,6 +25,8 @@ POINTERS = "_pointers"
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 # Of the stored files.
 COMPRESSION = "zstd"
+# Bytes that Spark reckons for a row besides its values.
+ROW_HEADER = 8
 
 
 class ConcurrentChange(Exception):
@@ -123,6 +125,26 @@ class Store:
             raise AnalysisException(f"no table {name} in {self.base}", errorClass="PATH_NOT_FOUND", messageParameters={"path": f"{self.base}/{name}"})
         return self.open(tables[name], only)
 
+    def lookup(self, name: str, only: Callable[[dict[str, str]], bool] | None = None) -> DataFrame:
+        """A published table to look rows up in, see ``open_lookup``."""
+        return self.open_lookup(self.tables()[name], only)
+
+    def open_lookup(self, table: dict, only: Callable[[dict[str, str]], bool] | None = None) -> DataFrame:
+        """A table for the side of a join in which rows are looked up.
+
+        Spark takes the length of the files for the size of a table, but these are packed many times denser than rows in
+        memory: millions of ids lie in fewer bytes than its threshold for a broadcast and would all pass through the
+        driver. The rows were counted as they were written. Where they, at Spark's width of a row, are beyond the
+        threshold, the join is one of shuffles; below it Spark is free.
+        """
+        rows = self.open(table, only)
+        most = self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        if most.startswith("-"):
+            return rows
+        size = table["rows"] * (rows._jdf.schema().defaultSize() + ROW_HEADER)
+        in_bytes = self.spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+        return rows.hint("merge") if size > in_bytes(most) else rows
+
     def open(self, table: dict, only: Callable[[dict[str, str]], bool] | None = None) -> DataFrame:
         schema = StructType.fromJson(table["schema"])
         folders = [f for f in table["folders"] if only is None or only(partition_values(f))]
@@ -244,6 +266,10 @@ class Change:
         """A table as this change sees it."""
         return self.store.open(self.tables[name], only)
 
+    def lookup(self, name: str, only: Callable[[dict[str, str]], bool] | None = None) -> DataFrame:
+        """The same, to look rows up in (``Store.open_lookup``)."""
+        return self.store.open_lookup(self.tables[name], only)
+
     def commit(self) -> None:
         text = json.dumps({"tables": self.tables}, indent=1)
         if not self.store.folder.publish(f"{POINTERS}/{self.number:012d}.json", text):

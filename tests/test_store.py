@@ -11,7 +11,7 @@ from marketlens import jobs
 from marketlens.operators import marts
 from marketlens.plans.catalog import Tables
 from marketlens.sources import bronze, readers
-from marketlens.sources.store import ConcurrentChange, Store
+from marketlens.sources.store import Change, ConcurrentChange, Store
 
 
 def values(df):
@@ -173,3 +173,94 @@ def test_stored_files_are_packed_densely(spark, store, tmp_path):
     files = [path.name for path in (tmp_path / "store").rglob("*.parquet")]
     assert files and all(name.endswith(".zstd.parquet") for name in files)
     assert (store.read("a").count(), store.read("b").count()) == (30, 30)
+
+
+@pytest.fixture
+def most_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    saved = spark.conf.get(key)
+    spark.conf.set(key, "600k")
+    yield
+    spark.conf.set(key, saved)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+MANY = 100_000
+
+
+def test_many_rows_in_small_files_are_not_broadcast(spark, store, most_broadcast):
+    ids = spark.range(MANY).withColumnRenamed("id", "key")
+    with store.change() as change:
+        change.replace("many", ids)
+        change.replace("few", ids.limit(100))
+        assert "SortMergeJoin" in plan(spark.range(MANY).join(change.lookup("many"), F.col("id") == F.col("key"), "left"))
+    assert store.folder.size("many") < 600 << 10 < MANY * 16
+    asked = spark.range(0, 2 * MANY, 2)
+
+    def joined(found, kind="left_semi"):
+        return asked.join(found, F.col("id") == F.col("key"), kind)
+
+    assert "BroadcastHashJoin" in plan(joined(store.read("many")))
+    for kind in ("left", "left_semi", "left_anti", "inner"):
+        assert "SortMergeJoin" in plan(joined(store.lookup("many").select("key"), kind)), kind
+        assert "BroadcastHashJoin" in plan(joined(store.lookup("few"), kind)), kind
+    assert joined(store.lookup("many")).count() == MANY // 2 and joined(store.lookup("few")).count() == 50
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert "hint" not in store.lookup("many")._jdf.queryExecution().logical().toString().lower()
+
+
+@pytest.fixture
+def large_store(spark, store, most_broadcast, monkeypatch):
+    """A store with many customers and products, and the plan of every table as it is written."""
+    plans = {}
+    write = Change.write
+
+    def planned(change, df, root, *args, **kwargs):
+        plans[root] = plan(df)
+        return write(change, df, root, *args, **kwargs)
+
+    monkeypatch.setattr(Change, "write", planned)
+    row = F.col("id")
+    raw = {
+        "orders": _orders(spark.range(MANY)),
+        "customers": spark.range(MANY).select(
+            row.alias("customer_id"),
+            row.alias("customer_unique_id"),
+            (row % 9).cast("int").alias("customer_zip_code_prefix"),
+            F.concat(F.lit("city"), row % 9).alias("customer_city"),
+            F.lit("state").alias("customer_state"),
+        ),
+        "products": spark.range(MANY).select(
+            row.alias("product_id"), F.concat(F.lit("cat"), row % 7).alias("product_category_name"), F.lit(5).alias("product_name_length")
+        ),
+        "order_items": spark.range(MANY).select(
+            row.alias("order_id"), F.lit(1).alias("order_item_id"), row.alias("product_id"), F.lit(1.5).alias("price"), F.lit(0.5).alias("freight_value")
+        ),
+    }
+    bronze.land_frames(raw, store.base)
+    jobs.store_silver(spark, store.base)
+    return store, plans
+
+
+def _orders(ids):
+    row = F.col("id")
+    return ids.select(
+        row.alias("order_id"),
+        (row % (MANY + 10)).alias("customer_id"),
+        F.lit("delivered").alias("order_status"),
+        F.lit("2018-01-05 10:00:00").alias("order_purchase_timestamp"),
+        F.lit("2018-01-09 10:00:00").alias("order_delivered_customer_date"),
+        F.lit(7).alias("promised_time_days"),
+    )
+
+
+def test_store_jobs_send_no_large_table_through_the_driver(spark, large_store):
+    store, plans = large_store
+    assert "BroadcastExchange" not in plans["fact_orders"] and "SortMergeJoin" in plans["fact_orders"]
+    jobs.store_marts(spark, store.base)
+    for name in ("stage_sales_lines", *jobs.MARTS):
+        assert "BroadcastExchange" not in plans[name], name
+    assert store.tables()["fact_orders"]["rows"] == store.tables()["stage_sales_lines"]["rows"] == MANY
