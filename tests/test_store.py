@@ -264,3 +264,15 @@ def test_store_jobs_send_no_large_table_through_the_driver(spark, large_store):
     for name in ("stage_sales_lines", *jobs.MARTS):
         assert "BroadcastExchange" not in plans[name], name
     assert store.tables()["fact_orders"]["rows"] == store.tables()["stage_sales_lines"]["rows"] == MANY
+
+
+def test_upsert_sends_no_large_table_through_the_driver(spark, large_store):
+    store, plans = large_store
+    jobs.store_marts(spark, store.base)
+    plans.clear()
+    # As many new orders as stored ones, ten of them of unknown customers.
+    jobs.upsert_orders(spark, store.base, _orders(spark.range(10, MANY + 10)))
+    for name in ("stage_order_delta", "fact_orders", "stage_sales_lines", *jobs.MARTS):
+        assert "BroadcastExchange" not in plans[name], name
+    assert store.tables()["fact_orders"]["rows"] == store.read("fact_orders").count() == MANY
+    assert store.read("mart_product_performance").count() == MANY
